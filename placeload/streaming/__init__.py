@@ -1,0 +1 @@
+"""Empty on purpose: the work rebuilt here is batch only."""
