@@ -30,7 +30,9 @@ def observed_write(
 ) -> LoadReport:
     """Run ``write(df)`` and report on the rows that passed, without a second scan.
 
-    ``rows_in`` is the size of the source where it differs from the rows written.
+    ``rows_in`` is the size of the source where it differs from the rows written. Counts
+    are taken in the stage of ``df``'s last operator: make that the stage that writes, since
+    an earlier one may run some of its tasks again when an executor is lost.
     """
     seen = Observation()
     started = time.monotonic()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from placeload.config import LoadConfig
 from placeload.operators.report import LoadReport, observed_write
@@ -50,18 +51,21 @@ def load_flat(
 
     if config.jdbc_url is None:
         merged = upsert(spark.table(config.dest_table), rows, keys, order_by)
-        return _observed(merged, config, lambda df: replace_rows(df, config.dest_table))
+        return observed_write(
+            merged, KEY_NAME, lambda df: replace_rows(df, config.dest_table), source.count()
+        )
     target = jdbc_target(config)
-    merged = upsert(read_jdbc(spark, target), rows, keys, order_by)
-    return _observed(
-        merged,
-        config,
+    present = read_jdbc(spark, target, _range_column(rows, keys), config.num_partitions)
+    return observed_write(
+        upsert(present, rows, keys, order_by),
+        KEY_NAME,
         lambda df: write_jdbc(
             materialize(df, "upsert"),
             target,
             num_partitions=config.num_partitions,
             batch_size=config.batch_size,
         ),
+        source.count(),
     )
 
 
@@ -82,34 +86,34 @@ def _exists(spark: SparkSession, config: LoadConfig) -> bool:
     return table_exists(spark, jdbc_target(config))
 
 
+def _range_column(rows: DataFrame, keys: Sequence[str]) -> str:
+    """A column that JDBC can read in ranges: of the primary key if possible."""
+    types = {f.name: f.dataType for f in rows.schema}
+    ranged = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return next((k for k in keys if isinstance(types[k], ranged)), KEY_NAME)
+
+
 def _store(rows: DataFrame, config: LoadConfig, mode: str) -> LoadReport:
+    # Without a limit all rows of the source are written. Otherwise the parquet footers
+    # tell how many there were.
+    rows_in = None
+    if config.limit is not None:
+        rows_in = rows.sparkSession.read.parquet(config.source).count()
     # Sharded before it is observed: the last stage counts each of its tasks once.
     if config.shards is not None:
         rows = shard_by(rows, KEY_NAME, config.shards)
-    if config.jdbc_url is None:
-        sort_by = None if config.shards is None else KEY_NAME
-        return _observed(
-            rows,
-            config,
-            lambda df: write_table(df, config.dest_table, mode, config.path, sort_by),
-        )
-    return _observed(
-        rows,
-        config,
-        lambda df: write_jdbc(
-            df,
-            jdbc_target(config),
-            mode,
-            num_partitions=config.num_partitions,
-            batch_size=config.batch_size,
-        ),
-    )
-
-
-def _observed(rows: DataFrame, config: LoadConfig, write) -> LoadReport:
-    return observed_write(rows, KEY_NAME, write, _source_rows(rows, config))
-
 
-def _source_rows(rows: DataFrame, config: LoadConfig) -> int:
-    # Parquet footers hold the row counts; no column is read.
-    return rows.sparkSession.read.parquet(config.source).count()
+    def write(df: DataFrame) -> None:
+        if config.jdbc_url is None:
+            sort_by = None if config.shards is None else KEY_NAME
+            write_table(df, config.dest_table, mode, config.path, sort_by)
+        else:
+            write_jdbc(
+                df,
+                jdbc_target(config),
+                mode,
+                num_partitions=config.num_partitions,
+                batch_size=config.batch_size,
+            )
+
+    return observed_write(rows, KEY_NAME, write, rows_in)

@@ -89,20 +89,18 @@ def replace_rows(df: DataFrame, name: str) -> None:
     of the same columns and widths; then the table is pointed at it. A failed write leaves
     the table as it was. The old files stay for queries still running on them.
     """
+    if "`" in name:
+        raise ValueError(f"a plain dotted table name is needed, got {name!r}")
     spark = df.sparkSession
-    old = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name})
-    old = old.where("col_name = 'Location'").first()["data_type"]
     version = uuid.uuid4().hex
+    table, staged = (".".join(map(quoted, n.split("."))) for n in (name, f"{name}_v{version}"))
+    old = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()[1]
     new = re.sub(r"-v[0-9a-f]{32}$", "", old.rstrip("/")) + f"-v{version}"
     location = "'" + new.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    staged = f"{name}_v{version}"
-    spark.sql(
-        f"CREATE TABLE IDENTIFIER(:staged) LIKE IDENTIFIER(:name) USING parquet LOCATION {location}",
-        args={"staged": staged, "name": name},
-    )
+    spark.sql(f"CREATE TABLE {staged} LIKE {table} USING parquet LOCATION {location}")
     try:
         write_table(df, staged, "append")
-        spark.sql(f"ALTER TABLE IDENTIFIER(:name) SET LOCATION {location}", args={"name": name})
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {location}")
     finally:
-        spark.sql("DROP TABLE IDENTIFIER(:staged)", args={"staged": staged})
+        spark.sql(f"DROP TABLE {staged}")
     spark.catalog.refreshTable(name)

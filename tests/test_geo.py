@@ -1,0 +1,105 @@
+import math
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from placeload.functions.geo import LEVEL_STEP, ROW_STEP, geo_cell, grid_level
+
+LEVELS = [3, 4, 6, 7, 9, 10, 11, 13, 14, 16, 17, 18, 20, 21, 23, 24]
+
+
+def expected(lat, lon, resolution):
+    if lat is None or lon is None or math.isnan(lat) or not abs(lat) <= 90 or not math.isfinite(lon):
+        return None
+    level = grid_level(resolution)
+    n = 2**level
+    row = min(math.floor((math.sin(math.radians(lat)) + 1) / 2 * n), n - 1)
+    turned = (lon + 180) % 360
+    column = min(math.floor((0.0 if turned == 360.0 else turned) / 360 * 2 * n), 2 * n - 1)
+    return level * LEVEL_STEP + row * ROW_STEP + column
+
+
+def cells(spark, points, resolution=3):
+    df = spark.createDataFrame(points, "lat double, lon double")
+    return [r.cell for r in df.select(geo_cell("lat", "lon", resolution).alias("cell")).collect()]
+
+
+def row_and_column(cell):
+    return cell % LEVEL_STEP // ROW_STEP, cell % ROW_STEP
+
+
+def test_levels():
+    assert [grid_level(r) for r in range(16)] == LEVELS
+
+
+@pytest.mark.parametrize("resolution", [-1, 16, 3.0, "3", None, True])
+def test_other_resolutions_are_refused(resolution):
+    with pytest.raises(ValueError):
+        geo_cell("lat", "lon", resolution)
+
+
+def test_unusable_coordinates_have_no_cell(spark):
+    nan, inf = math.nan, math.inf
+    points = [(None, 0.0), (0.0, None), (nan, 0.0), (0.0, nan), (inf, 0.0), (0.0, inf), (0.0, -inf)]
+    assert cells(spark, [*points, (91.0, 0.0), (-90.0001, 0.0), (None, None)]) == [None] * 10
+
+
+def test_null_struct_has_no_cell(spark):
+    df = spark.createDataFrame(
+        [Row(g=None), Row(g=Row(m=None)), Row(g=Row(m=Row(lat=0.0, lon=0.0)))],
+        "g struct<m:struct<lat:double,lon:double>>",
+    )
+    found = [r[0] for r in df.select(geo_cell("g.m.lat", "g.m.lon")).collect()]
+    assert found[:2] == [None, None] and found[2] is not None
+
+
+def test_poles_and_date_line(spark):
+    points = [(90.0, 0.0), (-90.0, 0.0), (0.0, 180.0), (0.0, -180.0), (0.0, 190.0), (0.0, -170.0), (0.0, -190.0)]
+    found = [row_and_column(c) for c in cells(spark, points)]
+    assert found[0][0] == 127 and found[1][0] == 0
+    assert [c for _, c in found[2:]] == [0, 0, 7, 7, 248]
+
+
+def test_origin(spark):
+    assert cells(spark, [(0.0, 0.0)]) == [7 * 2**58 + 64 * 2**29 + 128]
+
+
+def test_far_longitude_does_not_overflow(spark):
+    assert all(row_and_column(c)[1] < 256 for c in cells(spark, [(0.0, 1e300), (0.0, -1e300)]))
+
+
+def test_float_and_decimal_coordinates(spark):
+    df = spark.sql("SELECT CAST(1.5 AS FLOAT) lat, CAST(2.25 AS DECIMAL(5,2)) lon")
+    assert df.select(geo_cell("lat", "lon")).first()[0] == expected(1.5, 2.25, 3)
+
+
+def test_cells_of_one_resolution_have_near_equal_area(spark):
+    # Uniform on the sphere: sine of latitude and longitude on even grids.
+    df = (
+        spark.range(400)
+        .select(F.degrees(F.asin((F.col("id") + 0.5) / 200 - 1)).alias("lat"))
+        .crossJoin(spark.range(800).select((F.col("id") * 0.45 - 179.9).alias("lon")))
+    )
+    counts = df.groupBy(geo_cell("lat", "lon", 0)).count().agg(F.min("count"), F.max("count"), F.count("*")).first()
+    assert counts[2] == 128 and counts[0] == counts[1] == 2500
+
+
+numbers = st.one_of(st.none(), st.floats(), st.floats(-95, 95), st.floats(-200, 200))
+
+
+@settings(max_examples=15, deadline=None)
+@given(points=st.lists(st.tuples(numbers, numbers), min_size=1, max_size=40), resolution=st.integers(0, 15))
+def test_matches_the_formula(spark, points, resolution):
+    found = cells(spark, points, resolution)
+    for (lat, lon), cell in zip(points, found):
+        want = expected(lat, lon, resolution)
+        assert (cell is None) == (want is None)
+        if cell is not None:
+            assert cell > 0
+            (row, column), (want_row, want_column) = row_and_column(cell), row_and_column(want)
+            assert cell // LEVEL_STEP == grid_level(resolution)
+            # The last bit of sin() may differ between the two languages.
+            assert abs(row - want_row) <= 1 and column == want_column

@@ -1,0 +1,136 @@
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from conftest import plan, rows
+from placeload import LoadConfig, materialize, read_table, row_cap, scratch_path
+from placeload.storage import shared_dir
+
+
+@pytest.fixture
+def parts(spark, tmp_path):
+    root = str(tmp_path / "t")
+    spark.range(100).select("id", F.when(F.col("id") < 30, "2023-03-14").otherwise("2023-03-15").alias("dt")).repartition(
+        5
+    ).write.partitionBy("dt").parquet(root)
+    return root
+
+
+def test_leaf_partition(spark, parts):
+    leaf = read_table(spark, f"{parts}/dt=2023-03-14")
+    assert leaf.columns == ["id"] and leaf.count() == 30
+    back = read_table(spark, f"{parts}/dt=2023-03-14", base_path=parts)
+    assert dict(back.dtypes) == {"id": "bigint", "dt": "date"} and back.count() == 30
+
+
+def test_root_read_prunes_partitions(spark, parts):
+    df = read_table(spark, parts).where("dt = DATE '2023-03-14'")
+    assert df.count() == 30
+    scan = next(line for line in plan(df).splitlines() if "FileScan" in line)
+    assert "dt#" in scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+
+
+@pytest.mark.parametrize("limit, kept", [(None, 100), (0, 0), (7, 7), (100, 100), (1000, 100)])
+def test_limit(spark, parts, limit, kept):
+    assert read_table(spark, parts, limit).count() == kept
+
+
+def test_ordered_limit(spark, parts):
+    assert [r.id for r in read_table(spark, parts, 3, F.col("id").desc()).collect()] == [99, 98, 97]
+    assert [r.id for r in read_table(spark, parts, 2, ["dt", "id"]).collect()] == [0, 1]
+    assert "TakeOrderedAndProject" in plan(read_table(spark, parts, 3, "id"))
+
+
+def test_bad_limits(spark, parts):
+    with pytest.raises(AnalysisException):
+        read_table(spark, parts, -1).count()
+    with pytest.raises(ValueError):
+        read_table(spark, parts, order_by="id")
+
+
+@pytest.mark.parametrize("limit", [1, 2, 19, 20, 21, 55, 99, 100, 101, 500])
+def test_long_cap_is_exact_and_repeats(spark, parts, limit):
+    df = row_cap(read_table(spark, parts), limit, one_task_rows=0)
+    found = [r.id for r in df.select("id").collect()]
+    assert len(found) == len(set(found)) == min(limit, 100)
+    again = row_cap(read_table(spark, parts), limit, one_task_rows=0)
+    assert sorted(found) == sorted(r.id for r in again.select("id").collect())
+
+
+def test_long_cap_has_no_single_task(spark, parts):
+    assert "Exchange SinglePartition" not in plan(row_cap(read_table(spark, parts), 50, one_task_rows=0))
+    assert "Exchange SinglePartition" in plan(row_cap(read_table(spark, parts), 50).groupBy("dt").count())
+
+
+def test_materialize_cuts_the_lineage(spark, parts):
+    df = read_table(spark, parts).withColumn("x", F.array("id"))
+    back = materialize(df)
+    assert back.dtypes == df.dtypes and rows(back) == rows(df)
+    assert parts not in plan(back)
+
+
+def test_scratch_paths_are_in_the_shared_folder(spark):
+    first, second = scratch_path(spark, "a"), scratch_path(spark, "a")
+    assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+class FakeSession:
+    def __init__(self, master, folder=None):
+        self.sparkContext = type("Context", (), {"master": master})()
+        settings = {"spark.checkpoint.dir": folder} if folder else {}
+        self.conf = type("Conf", (), {"get": lambda _, k, d=None: settings.get(k, d), "set": lambda _, k, v: settings.update({k: v})})()
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(RuntimeError):
+        shared_dir(FakeSession("yarn"))
+    with pytest.raises(RuntimeError):
+        shared_dir(FakeSession("local-cluster[2,1,1024]"))
+    assert shared_dir(FakeSession("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    local = FakeSession("local[2]")
+    assert shared_dir(local) == shared_dir(local)
+
+
+def settings(spark, values):
+    for key, value in values.items():
+        spark.conf.set(f"spark.placeload.t.{key}", value)
+    try:
+        return LoadConfig.from_spark(spark, "spark.placeload.t.")
+    finally:
+        for key in values:
+            spark.conf.unset(f"spark.placeload.t.{key}")
+
+
+def test_config_defaults(spark):
+    config = settings(spark, {"source": "s", "dest_table": "d", "limit": ""})
+    assert config == LoadConfig("s", "d")
+    assert (config.limit, config.num_partitions, config.batch_size) == (None, 4, 1000)
+
+
+def test_config_values(spark):
+    config = settings(
+        spark,
+        {
+            "source": "s", "dest_table": "d", "limit": "1000", "resolution": "5", "jdbc.url": "jdbc:x",
+            "jdbc.user": "u", "jdbc.password": "hidden", "jdbc.driver": "D", "num_partitions": "16",
+            "batch_size": "10", "shards": "64", "path": "/p", "jdbc.option.flag": "true",
+        },
+    )
+    assert config == LoadConfig(
+        "s", "d", 1000, 5, "jdbc:x", "u", "hidden", "D", {"flag": "true"}, 16, 10, 64, "/p"
+    )
+    assert "hidden" not in repr(config)
+
+
+@pytest.mark.parametrize(
+    "bad",
+    [
+        {}, {"source": "s"}, {"source": "s", "dest_table": "d", "limit": "None"},
+        {"source": "s", "dest_table": "d", "limit": "-1"},
+        {"source": "s", "dest_table": "d", "num_partitions": "0"},
+        {"source": "s", "dest_table": "d", "shards": "0"},
+    ],
+)
+def test_bad_config(spark, bad):
+    with pytest.raises(ValueError):
+        settings(spark, bad)

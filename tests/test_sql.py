@@ -1,0 +1,49 @@
+import pytest
+
+from conftest import rows
+from placeload import run_script, run_sql
+
+
+def test_one_statement(spark):
+    assert rows(run_sql(spark, " SELECT 1 AS a; ")) == [(1,)]
+
+
+def test_failures_raise(spark):
+    with pytest.raises(Exception, match="PARSE_SYNTAX_ERROR"):
+        run_sql(spark, "SELEC 1")
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        run_sql(spark, "SELECT * FROM nowhere")
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        run_sql(spark, "SELECT 1 / 0 AS a").collect()
+
+
+def test_values_are_bound(spark):
+    text = "o'clock'; DROP TABLE x; --"
+    assert rows(run_sql(spark, "SELECT :v AS v", {"v": text})) == [(text,)]
+
+
+def test_schema_as_identifier(spark, name):
+    run_sql(spark, "CREATE SCHEMA IDENTIFIER(:s)", {"s": name})
+    run_sql(spark, "CREATE TABLE IDENTIFIER(:s || '.t') (a INT) USING parquet", {"s": name})
+    run_sql(spark, "INSERT INTO IDENTIFIER(:s || '.t') VALUES (:v)", {"s": name, "v": 3})
+    assert rows(run_sql(spark, "SELECT a FROM IDENTIFIER(:s || '.t')", {"s": name})) == [(3,)]
+
+
+def test_script_returns_the_last_result(spark):
+    assert rows(run_script(spark, "SELECT 1; SELECT :ds AS ds;", {"ds": "2023-03-14"})) == [("2023-03-14",)]
+    assert rows(run_script(spark, "SELECT 1;\nSELECT 'a;b' AS x -- the last\n")) == [("a;b",)]
+    assert rows(run_script(spark, "SELECT 5 AS x")) == [(5,)]
+
+
+def test_script_runs_in_order_and_stops_at_a_failure(spark, name):
+    run_script(
+        spark,
+        f"""
+        DROP TABLE IF EXISTS {name};
+        CREATE TABLE {name} (a INT) USING parquet;
+        INSERT INTO {name} VALUES (1), (2);
+        """,
+    )
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        run_script(spark, f"INSERT INTO {name} VALUES (3); SELECT 1 / 0; INSERT INTO {name} VALUES (4);")
+    assert rows(spark.table(name)) == [(1,), (2,), (3,)]
