@@ -153,6 +153,15 @@ def oracles() -> dict[str, str]:
             WHERE length(lang) > 2 HAVING count(*) > 0
         """,
         "q_upsert": UPSERTED,
+        "q_upsert_table": """
+            SELECT * REPLACE (
+                CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 = 0 THEN CAST(0 AS DOUBLE)
+                     ELSE o_totalprice END AS o_totalprice)
+            FROM orders
+            UNION ALL
+            SELECT * REPLACE (o_orderkey + 1000000 AS o_orderkey) FROM orders
+            WHERE o_orderkey < 10 AND o_orderstatus = 'F'
+        """,
         "q_latest_by_key": """
             SELECT event_id, ts, user_id, event_type, value FROM events
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import placeload as pl
 from placeload.plans.places import FLAT_LATITUDE, FLAT_LONGITUDE, KEY_NAME
+from placeload.storage import is_local
 
 SHARDS = 8
 
@@ -200,6 +201,25 @@ def q_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pl.upsert(orders, _incoming(orders), ["o_orderkey"])
 
 
+def q_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An upsert that reads and writes one partition of its table."""
+    name = fresh("by_status")
+    orders = table(spark, sf_dir, "orders")
+    pl.run_sql(
+        spark,
+        f"""
+        CREATE TABLE {name} (
+            o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ,
+            o_orderpriority STRING, o_orderstatus STRING)
+        USING parquet PARTITIONED BY (o_orderstatus) LOCATION '{pl.scratch_path(spark, name)}'
+        """,
+    )
+    pl.write_table(orders, name, "append")
+    incoming = _incoming(orders.where(F.col("o_orderstatus") == "F"))
+    pl.upsert_table(incoming, name, ["o_orderstatus", "o_orderkey"])
+    return spark.table(name)
+
+
 def q_latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").drop("props")
     return pl.latest_by_key(events, ["user_id"], order_by=["ts", "event_id"])
@@ -315,7 +335,7 @@ def jdbc_target(spark: SparkSession, name: str) -> pl.JdbcTarget:
     url = spark.conf.get("spark.placeload.check.jdbc_url", None)
     if url:
         return pl.JdbcTarget(url, table_name)
-    if not spark.sparkContext.master.startswith("local["):
+    if not is_local(spark):
         raise RuntimeError(
             "set spark.placeload.check.jdbc_url to a database all executors can reach"
         )

@@ -25,7 +25,7 @@ from placeload.sources.jdbc import (
     write_jdbc,
 )
 from placeload.sources.parquet import read_table, row_cap
-from placeload.sources.tables import replace_rows, write_sharded, write_table
+from placeload.sources.tables import replace_rows, upsert_table, write_sharded, write_table
 from placeload.storage import materialize, scratch_path
 
 __all__ = [
@@ -59,6 +59,7 @@ __all__ = [
     "target_schema",
     "upsert",
     "upsert_jdbc",
+    "upsert_table",
     "width_profile",
     "write_jdbc",
     "write_sharded",

@@ -14,7 +14,7 @@ from placeload.operators.upsert import latest_by_key, upsert
 from placeload.plans.places import KEY_NAME, append_cell_key, places_frame
 from placeload.sources.jdbc import JdbcTarget, read_jdbc, table_exists, write_jdbc
 from placeload.sources.parquet import read_table
-from placeload.sources.tables import replace_rows, write_table
+from placeload.sources.tables import merge_into, write_table
 from placeload.storage import materialize
 
 
@@ -38,8 +38,8 @@ def load_flat(
 ) -> LoadReport:
     """Flat load: typed columns, then the cell key (resolution 6 by default).
 
-    Appends; with ``keys`` it updates the rows whose key the destination already has. Over
-    JDBC that rewrites the table. A database that updates on an existing primary key by
+    Appends; with ``keys`` it updates the rows whose key the destination already has, and
+    reports the rows written, old ones included. Over JDBC that is the whole table. A database that updates on an existing primary key by
     itself needs no ``keys``: set its flag in ``config.jdbc_options`` and append.
     """
     source = read_table(spark, config.source, config.limit)
@@ -50,10 +50,8 @@ def load_flat(
         return _store(latest_by_key(rows, keys, order_by), config, "append")
 
     if config.jdbc_url is None:
-        merged = upsert(spark.table(config.dest_table), rows, keys, order_by)
-        return observed_write(
-            merged, KEY_NAME, lambda df: replace_rows(df, config.dest_table), source.count()
-        )
+        merged, write = merge_into(rows, config.dest_table, keys, order_by)
+        return observed_write(merged, KEY_NAME, write, source.count())
     target = jdbc_target(config)
     present = read_jdbc(spark, target, _range_column(rows, keys), config.num_partitions)
     return observed_write(

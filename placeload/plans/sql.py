@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+# A statement goes up to a ";" that is in no literal, quoted name or comment.
+COMMENT = r"--[^\n]*|/\*.*?\*/"
+STATEMENT = re.compile(
+    rf"""(?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|{COMMENT}|[^;])+""", re.DOTALL
+)
+
 
 def run_sql(spark: SparkSession, text: str, args: Mapping[str, Any] | None = None) -> DataFrame:
-    """Run one statement; a failure raises.
+    """Run one statement; a failure raises, for a query when its rows are used.
 
     Values go in as ``:name``, table and schema names as ``IDENTIFIER(:name)``. They are
     bound, never pasted into the text.
@@ -18,11 +25,18 @@ def run_sql(spark: SparkSession, text: str, args: Mapping[str, Any] | None = Non
 
 
 def run_script(spark: SparkSession, text: str, args: Mapping[str, Any] | None = None) -> DataFrame:
-    """Run statements separated by ``;`` in order and return the last result.
+    """Run statements separated by ``;`` in order; the first that fails raises.
 
-    The first failing statement raises and ends the script.
+    The last result is returned, unless a query not yet run: it may be large. Queries before
+    it run in full and their rows are discarded. Spark's own ``BEGIN ... END`` block is not
+    used since it collects every result; pass such a block to ``run_sql``.
     """
-    body = text.strip()
-    if not body.endswith(";"):
-        body += "\n;"
-    return spark.sql(f"BEGIN\n{body}\nEND", args=dict(args) if args else None)
+    parts = STATEMENT.findall(text)
+    statements = [p for p in parts if re.sub(COMMENT, "", p, flags=re.DOTALL).strip()]
+    if not statements:
+        raise ValueError("the script has no statement")
+    for statement in statements[:-1]:
+        result = run_sql(spark, statement, args)
+        if result.columns:
+            result.write.format("noop").mode("overwrite").save()
+    return run_sql(spark, statements[-1], args)

@@ -4,17 +4,24 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from placeload.functions.nested import quoted
 from placeload.operators.sharding import shard_by, shard_report
+from placeload.operators.upsert import upsert
 
 MODES = ("overwrite_truncate", "overwrite_create", "append")
 
 # A bucket may hold this many times the average before buckets are given up.
 BUCKET_SKEW = 4
 
+# Up to here an upsert rewrites the partitions it touches one by one, beyond it the table.
+TOUCHED_PARTITIONS = 1000
+
 
 def write_table(
     df: DataFrame,
@@ -86,21 +93,105 @@ def replace_rows(df: DataFrame, name: str) -> None:
     """Make ``df`` the content of the table, also when ``df`` reads that table.
 
     The rows are written once, into a new directory beside the old one, through a table
-    of the same columns and widths; then the table is pointed at it. A failed write leaves
-    the table as it was. The old files stay for queries still running on them.
+    of the same columns, widths and layout. Then the table is pointed at it, or, as a
+    partitioned table keeps a path per partition, the two tables trade names. A failed write
+    leaves the table as it was. Old files of an external table stay.
     """
     if "`" in name:
         raise ValueError(f"a plain dotted table name is needed, got {name!r}")
     spark = df.sparkSession
     version = uuid.uuid4().hex
-    table, staged = (".".join(map(quoted, n.split("."))) for n in (name, f"{name}_v{version}"))
-    old = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()[1]
-    new = re.sub(r"-v[0-9a-f]{32}$", "", old.rstrip("/")) + f"-v{version}"
-    location = "'" + new.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    table, staged, old = (
+        ".".join(map(quoted, n.split(".")))
+        for n in (name, f"{name}_v{version}", f"{name}_old_v{version}")
+    )
+    path = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()[1]
+    path = re.sub(r"-v[0-9a-f]{32}$", "", path.rstrip("/")) + f"-v{version}"
+    location = "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
     spark.sql(f"CREATE TABLE {staged} LIKE {table} USING parquet LOCATION {location}")
     try:
         write_table(df, staged, "append")
+    except Exception:
+        spark.sql(f"DROP TABLE {staged}")
+        raise
+    if _partition_columns(df, name):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        spark.sql(f"DROP TABLE {old}")
+    else:
         spark.sql(f"ALTER TABLE {table} SET LOCATION {location}")
-    finally:
         spark.sql(f"DROP TABLE {staged}")
     spark.catalog.refreshTable(name)
+
+
+def merge_into(
+    incoming: DataFrame,
+    name: str,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column] | None = None,
+) -> tuple[DataFrame, Callable[[DataFrame], None]]:
+    """An upsert into the table: the rows to write, and how to write them.
+
+    Only the partitions that ``incoming`` can change are read and written, if the table is
+    partitioned by part of its key. Otherwise its rows are written anew.
+    """
+    target = incoming.sparkSession.table(name)
+    touched = touched_partitions(incoming, name, keys)
+    if touched is not None:
+        target = target.where(touched)
+    merged = upsert(target, incoming, keys, order_by)
+    partitions = [F.col(quoted(c)) for c in _partition_columns(incoming, name)]
+    if partitions:
+        # Else every task would write a file into every partition.
+        merged = merged.hint("rebalance", *partitions)
+    return merged, lambda df: (replace_rows if touched is None else replace_partitions)(df, name)
+
+
+def upsert_table(
+    incoming: DataFrame,
+    name: str,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column] | None = None,
+) -> None:
+    """Upsert ``incoming`` into the catalog table ``name``; see ``merge_into``."""
+    rows, write = merge_into(incoming, name, keys, order_by)
+    write(rows)
+
+
+def _partition_columns(df: DataFrame, name: str) -> list[str]:
+    return [c.name for c in df.sparkSession.catalog.listColumns(name) if c.isPartition]
+
+
+def touched_partitions(
+    incoming: DataFrame, name: str, keys: Sequence[str], most: int = TOUCHED_PARTITIONS
+) -> Column | None:
+    """A condition that holds for every partition ``incoming`` can change.
+
+    None if that may be all of them: the table has no partitions, they do not follow from
+    the key, or more than ``most`` are touched.
+    """
+    columns = _partition_columns(incoming, name)
+    if not columns or not set(columns) <= set(keys):
+        return None
+    found = incoming.select(*map(quoted, columns)).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        return None
+    return reduce(
+        Column.__and__, [F.col(quoted(c)).isin(list({row[c] for row in found})) for c in columns]
+    )
+
+
+def replace_partitions(df: DataFrame, name: str) -> None:
+    """Overwrite those partitions of the table that ``df`` has rows of, and no other.
+
+    ``df`` may read the table: its new files are moved in place when all are written.
+    """
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        write_table(df, name, "overwrite_truncate")
+    finally:
+        spark.conf.set(mode, before)
+    spark.catalog.refreshTable(name)

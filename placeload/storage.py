@@ -8,6 +8,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -17,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local["):
+    if not is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="placeload-")
     spark.conf.set("spark.checkpoint.dir", folder)

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import contextlib
+import io
 import sys
+import uuid
 from pathlib import Path
 
 import pytest
@@ -9,6 +12,8 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
+from placeload import JdbcTarget  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -20,6 +25,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "1000")
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
         .config("spark.checkpoint.dir", str(work / "shared"))
         .config("spark.driver.extraJavaOptions", f"-Dderby.stream.error.file={work}/derby.log")
@@ -33,10 +39,6 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def jdbc(spark):
     """A table name nobody used yet in the database embedded in this process."""
-    import uuid
-
-    from placeload import JdbcTarget
-
     return JdbcTarget(
         "jdbc:derby:memory:tests;create=true",
         f"T_{uuid.uuid4().hex}".upper(),
@@ -46,8 +48,6 @@ def jdbc(spark):
 
 @pytest.fixture
 def name():
-    import uuid
-
     return f"t_{uuid.uuid4().hex}"
 
 
@@ -56,4 +56,8 @@ def rows(df):
 
 
 def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan as ``explain`` prints it."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue()

@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import rows
+from conftest import plan, rows
 from placeload import run_script, run_sql
 
 
@@ -31,10 +31,37 @@ def test_schema_as_identifier(spark, name):
 
 def test_script_returns_the_last_result(spark):
     assert rows(run_script(spark, "SELECT 1; SELECT :ds AS ds;", {"ds": "2023-03-14"})) == [("2023-03-14",)]
-    assert rows(run_script(spark, "SELECT 1;\nSELECT 'a;b' AS x -- the last\n")) == [("a;b",)]
     assert rows(run_script(spark, "SELECT 5 AS x")) == [(5,)]
 
 
+def test_script_splits_only_between_statements(spark):
+    text = r"""
+        -- a comment; not a statement
+        SELECT 1; /* another;
+        one */ ;
+        SELECT 'a;b' AS a, "c;\";d" AS b, 'e\';f' AS c, 1 AS `g;h` -- the last; one
+        ;
+        -- done;
+    """
+    assert rows(run_script(spark, text)) == [("a;b", 'c;";d', "e';f", 1)]
+    with pytest.raises(ValueError):
+        run_script(spark, " ; -- nothing\n ; /* at; all */")
+
+
+def test_script_does_not_collect_its_result(spark):
+    df = run_script(spark, "SELECT 1; SELECT id FROM range(10) WHERE id > 3")
+    assert "Range (0, 10" in plan(df) and df.count() == 6
+
+
+def test_block_of_statements(spark):
+    assert rows(run_sql(spark, "BEGIN SELECT 1; SELECT :ds AS ds; END", {"ds": "x"})) == [("x",)]
+
+
+def test_queries_before_the_last_run_in_full(spark):
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        run_script(spark, "SELECT 1 / (id - 5) AS x FROM range(10); SELECT 1")
+
+
 def test_script_runs_in_order_and_stops_at_a_failure(spark, name):
     run_script(
         spark,

@@ -1,8 +1,19 @@
 import pytest
-
-from conftest import rows
-from placeload import ColumnDef, TableDef, create_or_replace, replace_rows, scratch_path, upsert, write_table
+from pyspark.sql import functions as F
+
+from conftest import plan, rows
+from placeload import (
+    ColumnDef,
+    TableDef,
+    create_or_replace,
+    replace_rows,
+    scratch_path,
+    upsert,
+    upsert_table,
+    write_table,
+)
 from placeload.plans.tables import CATEGORIES, PLACES
+from placeload.sources.tables import touched_partitions
 
 SMALL = TableDef((ColumnDef("k", "INT", nullable=False), ColumnDef("v", "VARCHAR(3)")), ("k",))
 
@@ -100,3 +111,67 @@ def test_quote_in_path(spark, name):
     create_or_replace(spark, name, SMALL, scratch_path(spark, "it's"))
     write_table(pairs(spark, [(1, "a")]), name)
     assert rows(spark.table(name)) == [(1, "a")]
+
+
+@pytest.fixture
+def partitioned(spark, name):
+    """30 rows in 3 days of 2 regions."""
+    spark.sql(f"CREATE TABLE {name} (k INT, v STRING, day STRING, region STRING) USING parquet PARTITIONED BY (day, region)")
+    spark.range(30).selectExpr(
+        "CAST(id AS INT) k", "'old' v", "concat('d', id % 3) day", "if(id % 2 = 0, 'a', 'b') region"
+    ).write.insertInto(name)
+    return name
+
+
+def files(spark, name):
+    return {r[0] for r in spark.table(name).select("_metadata.file_path").distinct().collect()}
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, partitioned):
+    before, content = files(spark, partitioned), rows(spark.table(partitioned))
+    incoming = spark.createDataFrame(
+        [(0, "new", "d0", "a"), (99, "new", "d0", "a"), (99, "new", "d7", "a")],
+        "k int, v string, day string, region string",
+    )
+    upsert_table(incoming, partitioned, ["day", "region", "k"])
+    want = [r for r in content if r[0] != 0] + [tuple(r) for r in incoming.collect()]
+    assert rows(spark.table(partitioned)) == sorted(want, key=repr)
+    gone = before - files(spark, partitioned)
+    assert gone and all("day=d0/region=a" in f for f in gone)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_touched_partitions_prune_the_scan(spark, partitioned):
+    incoming = spark.table(partitioned).where("day = 'd1' AND region = 'b'")
+    condition = touched_partitions(incoming, partitioned, ["day", "region", "k"])
+    text = plan(spark.table(partitioned).where(condition))
+    assert "(day" in text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert spark.table(partitioned).where(condition).count() == 5
+    assert touched_partitions(incoming, partitioned, ["k"]) is None
+    assert touched_partitions(spark.table(partitioned), partitioned, ["day", "region"], most=2) is None
+
+
+def test_upsert_beyond_its_partitions_rewrites_the_table(spark, partitioned):
+    incoming = spark.createDataFrame([(0, "new", "d2", "b")], "k int, v string, day string, region string")
+    upsert_table(incoming, partitioned, ["k"])
+    assert spark.table(partitioned).count() == 30
+    assert rows(spark.table(partitioned).where("k = 0")) == [(0, "new", "d2", "b")]
+    upsert_table(spark.table(partitioned).where("k = 1").withColumn("day", F.lit("d9")), partitioned, ["k"])
+    assert rows(spark.table(partitioned).where("day = 'd9'")) == [(1, "old", "d9", "b")]
+    assert [t.name for t in spark.catalog.listTables() if partitioned in t.name] == [partitioned]
+
+
+def test_upsert_into_an_external_partitioned_table(spark, name, tmp_path):
+    spark.sql(f"CREATE TABLE {name} (k INT, v STRING, day STRING) USING parquet PARTITIONED BY (day) LOCATION '{tmp_path}/t'")
+    old = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, day string")
+    old.write.insertInto(name)
+    for value in ("B", "C"):
+        upsert_table(spark.createDataFrame([(2, value, "z")], "k int, v string, day string"), name, ["k"])
+        assert rows(spark.table(name)) == [(1, "a", "x"), (2, value, "z")]
+    assert rows(spark.read.parquet(f"{tmp_path}/t").select("k", "v", "day")) == rows(old)
+
+
+def test_upsert_of_nothing(spark, partitioned):
+    before = files(spark, partitioned)
+    upsert_table(spark.table(partitioned).limit(0), partitioned, ["day", "region", "k"])
+    assert files(spark, partitioned) == before and spark.table(partitioned).count() == 30
