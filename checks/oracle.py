@@ -94,6 +94,7 @@ def oracles() -> dict[str, str]:
         "q_read_table": "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, l_shipdate FROM lineitem",
         "q_row_count": "SELECT count(*) AS rows FROM lineitem",
         "q_limit_topk": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000",
+        "q_limit_sorted": "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 1200",
         "q_row_cap": "SELECT least(count(*), 5000) AS rows FROM lineitem",
         "q_partition_read": f"{ORDERS_WITHOUT_STATUS} FROM orders WHERE o_orderstatus = 'F'",
         "q_partition_restored": "SELECT * FROM orders WHERE o_orderstatus = 'F'",

@@ -89,11 +89,18 @@ def q_limit_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pl.read_table(spark, f"{sf_dir}/orders.parquet", limit=1000, order_by="o_orderkey")
 
 
+def q_limit_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ordered limit taken from the sorted table instead of in one task."""
+    path = f"{sf_dir}/orders.parquet"
+    order = [F.col("o_totalprice").desc(), "o_orderkey"]
+    return pl.read_table(spark, path, limit=1200, order_by=order, one_task_rows=1000)
+
+
 def q_row_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An unordered cap may keep any rows, so their number is what can be compared."""
     path = pl.scratch_path(spark, "capped")
     table(spark, sf_dir, "lineitem").repartition(SHARDS).write.parquet(path)
-    kept = pl.row_cap(spark.read.parquet(path), 5000, one_task_rows=100)
+    kept = pl.read_table(spark, path, limit=5000)
     return kept.agg(F.count(F.lit(1)).alias("rows"))
 
 

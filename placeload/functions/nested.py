@@ -47,3 +47,10 @@ def stringify_nested(df: DataFrame, scalars: str = "keep") -> DataFrame:
     timestamps are cut to milliseconds.
     """
     return df.select(*json_columns(df.schema, scalars))
+
+
+def row_hash(schema: T.StructType) -> Column:
+    """A hash over all columns, to order rows that are otherwise equal."""
+    return F.xxhash64(
+        *[F.to_json(F.col(quoted(f.name))) if is_nested(f) else F.col(quoted(f.name)) for f in schema]
+    )

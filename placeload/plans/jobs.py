@@ -12,7 +12,7 @@ from placeload.operators.report import LoadReport, observed_write
 from placeload.operators.sharding import shard_by
 from placeload.operators.upsert import latest_by_key, upsert
 from placeload.plans.places import KEY_NAME, append_cell_key, places_frame
-from placeload.sources.jdbc import JdbcTarget, read_jdbc, table_exists, write_jdbc
+from placeload.sources.jdbc import JdbcTarget, read_jdbc, row_count, table_exists, write_jdbc
 from placeload.sources.parquet import read_table
 from placeload.sources.tables import merge_into, write_table
 from placeload.storage import materialize
@@ -54,7 +54,7 @@ def load_flat(
         return observed_write(merged, KEY_NAME, write, source.count())
     target = jdbc_target(config)
     present = read_jdbc(spark, target, _range_column(rows, keys), config.num_partitions)
-    return observed_write(
+    report = observed_write(
         upsert(present, rows, keys, order_by),
         KEY_NAME,
         lambda df: write_jdbc(
@@ -65,6 +65,8 @@ def load_flat(
         ),
         source.count(),
     )
+    _check_stored(spark, target, report)
+    return report
 
 
 def jdbc_target(config: LoadConfig) -> JdbcTarget:
@@ -114,4 +116,16 @@ def _store(rows: DataFrame, config: LoadConfig, mode: str) -> LoadReport:
                 batch_size=config.batch_size,
             )
 
-    return observed_write(rows, KEY_NAME, write, rows_in)
+    report = observed_write(rows, KEY_NAME, write, rows_in)
+    if config.jdbc_url is not None and mode != "append":
+        _check_stored(rows.sparkSession, jdbc_target(config), report)
+    return report
+
+
+def _check_stored(spark: SparkSession, target: JdbcTarget, report: LoadReport) -> None:
+    """A task whose executor is lost right after its commit runs again and adds its rows twice."""
+    stored = row_count(spark, target)
+    if stored != report.rows_out:
+        raise RuntimeError(
+            f"{target.table} holds {stored} rows after {report.rows_out} were written: load it again"
+        )

@@ -1,4 +1,4 @@
-"""Parquet table source with an optional row cap."""
+"""Parquet table source with an optional limit."""
 
 from __future__ import annotations
 
@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Up to here a cap is one short task; beyond it the cap is spread over the files.
+from placeload.functions.nested import row_hash
+from placeload.storage import materialize
+
+# Up to here one task may hold the rows of an ordered limit.
 ONE_TASK_ROWS = 100_000
 
 
@@ -17,6 +20,7 @@ def read_table(
     limit: int | None = None,
     order_by: Sequence[str | Column] | str | Column | None = None,
     base_path: str | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Read a parquet directory, one partition of it, or a single file.
 
@@ -25,7 +29,8 @@ def read_table(
     partition column prunes to the same files.
 
     ``limit`` keeps that many rows, or all if there are fewer. With ``order_by`` they are
-    the first in that order; otherwise any rows may be kept.
+    the first in that order; beyond ``one_task_rows`` the sorted table is written to the
+    shared folder and its first files are read. Otherwise any rows may be kept.
     """
     if order_by is not None and limit is None:
         raise ValueError("order_by only chooses the rows of a limit")
@@ -38,34 +43,33 @@ def read_table(
     if order_by is None:
         return row_cap(df, limit)
     order = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
-    return df.orderBy(*order).limit(limit)
+    if limit <= one_task_rows:
+        return df.orderBy(*order).limit(limit)
+    # The hash splits a value that many rows share over several tasks of the sort. Task
+    # numbers in file names stop sorting as text at the 100,000th, hence the padding.
+    in_order = materialize(df.orderBy(*order, row_hash(df.schema)), "ordered")
+    file = F.col("_metadata.file_name")
+    task = F.lpad(F.regexp_extract(file, r"^part-(\d+)", 1), 10, "0")
+    return row_cap(in_order, limit, F.concat(task, file))
+
 
+def row_cap(df: DataFrame, limit: int, file_order: Column | None = None) -> DataFrame:
+    """Exactly ``limit`` rows, or all if there are fewer, of a DataFrame that reads files.
 
-def row_cap(df: DataFrame, limit: int, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    """Any ``limit`` rows of a DataFrame that reads files directly.
+    ``limit()`` would open every file and send all kept rows through one task. Instead, whole
+    files are kept in order, by default of their paths, until the next would not fit, and the
+    first rows of that one. The counts come from the footers; files beyond are pruned before
+    they are opened. The same rows are kept on every run.
 
-    ``limit()`` sends all kept rows through one task, which is right for a short cap. A
-    long cap keeps whole files, in path order, until the next one would not fit, and the
-    first rows of that one. The counts per file come from the footers, so the rows are
-    read once, in parallel, and the same rows are kept on every run.
+    ``file_order`` is an expression on ``_metadata`` that differs between files.
     """
-    if limit <= one_task_rows:
-        return df.limit(limit)
-    counts = (
-        df.select(F.col("_metadata.file_path").alias("file"))
-        .groupBy("file")
-        .count()
-        .orderBy("file")
-        .toLocalIterator()
-    )
-    left, whole, cut = limit, [], None
-    for file, rows in counts:
+    if limit < 0:
+        raise ValueError(f"limit must not be negative, got {limit}")
+    file = F.col("_metadata.file_path") if file_order is None else file_order
+    counts = df.select(file.alias("file")).groupBy("file").count().orderBy("file")
+    left = limit
+    for last, rows in counts.toLocalIterator():
         if rows > left:
-            cut = file
-            break
-        whole.append(file)
+            return df.where((file <= last) & ((file < last) | (F.col("_metadata.row_index") < left)))
         left -= rows
-    if cut is None:
-        return df
-    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
-    return df.where((file <= cut) & ((file < cut) | (row < left)))
+    return df

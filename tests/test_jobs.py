@@ -15,6 +15,7 @@ from placeload import (
     read_jdbc,
     scratch_path,
     target_schema,
+    write_jdbc,
 )
 from placeload.plans.tables import PLACES
 
@@ -112,6 +113,18 @@ def test_load_over_jdbc(spark, places, jdbc, shards):
     assert target_schema(spark, jdbc).names[0] == "cell_key"
 
 
+def test_rows_stored_twice_are_noticed(spark, places, jdbc, monkeypatch):
+    from placeload.plans import jobs
+
+    def write_twice(df, target, mode, **settings):
+        write_jdbc(df, target, mode, **settings)
+        write_jdbc(df.limit(5), target, "append", **settings)
+
+    monkeypatch.setattr(jobs, "write_jdbc", write_twice)
+    with pytest.raises(RuntimeError, match="1005 rows after 1000"):
+        load_places(spark, jdbc_config(places, jdbc))
+
+
 def test_empty_source(spark, places, name, tmp_path):
     spark.read.parquet(places).limit(0).write.parquet(str(tmp_path / "e"))
     report = load_places(spark, LoadConfig(str(tmp_path / "e"), name))

@@ -42,24 +42,54 @@ def test_ordered_limit(spark, parts):
 
 
 def test_bad_limits(spark, parts):
+    with pytest.raises(ValueError):
+        read_table(spark, parts, -1)
     with pytest.raises(AnalysisException):
-        read_table(spark, parts, -1).count()
+        read_table(spark, parts, -1, "id").count()
     with pytest.raises(ValueError):
         read_table(spark, parts, order_by="id")
 
 
 @pytest.mark.parametrize("limit", [1, 2, 19, 20, 21, 55, 99, 100, 101, 500])
-def test_long_cap_is_exact_and_repeats(spark, parts, limit):
-    df = row_cap(read_table(spark, parts), limit, one_task_rows=0)
-    found = [r.id for r in df.select("id").collect()]
-    assert len(found) == len(set(found)) == min(limit, 100)
-    again = row_cap(read_table(spark, parts), limit, one_task_rows=0)
-    assert sorted(found) == sorted(r.id for r in again.select("id").collect())
+def test_cap_is_exact_and_repeats(spark, parts, limit):
+    found, again = ([r.id for r in read_table(spark, parts, limit).collect()] for _ in range(2))
+    assert len(found) == len(set(found)) == min(limit, 100) and sorted(found) == sorted(again)
 
 
-def test_long_cap_has_no_single_task(spark, parts):
-    assert "Exchange SinglePartition" not in plan(row_cap(read_table(spark, parts), 50, one_task_rows=0))
-    assert "Exchange SinglePartition" in plan(row_cap(read_table(spark, parts), 50).groupBy("dt").count())
+def test_cap_opens_only_the_files_it_needs(spark, tmp_path):
+    path = str(tmp_path / "with space")
+    spark.range(0, 800, 1, 8).write.parquet(path)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1g")
+    try:
+        assert spark.read.parquet(path).rdd.getNumPartitions() == 8
+        capped = row_cap(spark.read.parquet(path), 250)
+        assert capped.rdd.getNumPartitions() == 3 and capped.count() == 250
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert "Exchange" not in plan(capped)
+
+
+def test_cap_in_an_order_of_files(spark, tmp_path):
+    path = str(tmp_path / "f")
+    for number in (9, 10, 100):
+        spark.range(number, number + 5).coalesce(1).write.parquet(f"{path}/n={number}")
+    number = F.regexp_extract("_metadata.file_path", r"n=(\d+)", 1).cast("long")
+    capped = row_cap(spark.read.parquet(path), 12, number)
+    assert sorted(r.id for r in capped.collect()) == sorted([*range(9, 14), *range(10, 15), 100, 101])
+    assert {r.id for r in row_cap(spark.read.parquet(path), 5).collect()} == set(range(10, 15))
+
+
+@pytest.mark.parametrize("limit", [0, 1, 33, 150, 400, 1000])
+def test_sorted_limit_equals_the_top(spark, tmp_path, limit):
+    """A third of the rows share one value, so ties cross tasks; files are more than one."""
+    path = str(tmp_path / "s")
+    spark.range(0, 900, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 50).alias("v"),
+        F.create_map(F.lit("k"), "id").alias("m"),
+    ).write.parquet(path)
+    found = read_table(spark, path, limit, F.col("v").desc(), one_task_rows=-1)
+    wanted = sorted((r.v for r in spark.read.parquet(path).collect()), reverse=True)[:limit]
+    assert sorted((r.v for r in found.collect()), reverse=True) == wanted
 
 
 def test_materialize_cuts_the_lineage(spark, parts):
