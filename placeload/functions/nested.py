@@ -15,6 +15,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def literal(text: str) -> str:
+    """A text as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def is_nested(field: T.StructField) -> bool:
     return isinstance(field.dataType, NESTED_TYPES)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeload.functions.nested import quoted
+from placeload.functions.nested import quoted, row_hash
 
 
 def shard_by(df: DataFrame, key: str, shards: int) -> DataFrame:
@@ -14,9 +14,14 @@ def shard_by(df: DataFrame, key: str, shards: int) -> DataFrame:
     A rebalance hint rather than ``repartition``: at run time Spark splits a partition
     that is far above the advisory size, so a key with a third of all rows becomes several
     tasks, and joins small ones. One shuffle, no look at the data before.
+
+    Adaptive execution does this. Where it is switched off the rows are sampled and split in
+    ranges of the key, those of a hot key in ranges of a hash.
     """
     if shards < 1:
         raise ValueError(f"shards must be at least 1, got {shards}")
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        return df.repartitionByRange(shards, F.col(quoted(key)), row_hash(df.schema))
     return df.hint("rebalance", shards, F.col(quoted(key)))
 
 

@@ -21,7 +21,7 @@ def run_sql(spark: SparkSession, text: str, args: Mapping[str, Any] | None = Non
     Values go in as ``:name``, table and schema names as ``IDENTIFIER(:name)``. They are
     bound, never pasted into the text.
     """
-    return spark.sql(text.strip().rstrip(";"), args=dict(args) if args else None)
+    return spark.sql(text, args=dict(args) if args else None)
 
 
 def run_script(spark: SparkSession, text: str, args: Mapping[str, Any] | None = None) -> DataFrame:

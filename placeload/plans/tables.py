@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from placeload.functions.nested import quoted
+from placeload.functions.nested import literal, quoted
 
 
 @dataclass(frozen=True)
@@ -84,17 +84,25 @@ def create_or_replace(
 ) -> None:
     """Drop the table if it exists and create it empty, at ``path`` if given.
 
+    The rows of the old table go, also those of an external one. A ``path`` that holds rows
+    of anything else is refused.
+
     VARCHAR(n) is enforced by Spark on write. Keys and NOT NULL are not: the built-in
     catalog takes a NULL into a NOT NULL column and then plans as if it had none. So they
     stay out of the DDL; check the rows with ``check_constraints`` before writing.
 
-    Two statements, hence not atomic.
+    Several statements, hence not atomic.
     """
+    if spark.catalog.tableExists(name):
+        # DROP leaves the files of an external table, and TRUNCATE is not allowed on one.
+        nothing = spark.createDataFrame([], spark.table(name).schema)
+        nothing.write.insertInto(name, overwrite=True)
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
-    location = ""
-    if path is not None:
-        location = " LOCATION '" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    location = "" if path is None else f" LOCATION {literal(path)}"
     spark.sql(
         f"CREATE TABLE IDENTIFIER(:name) ({table.column_ddl()}) USING parquet{location}",
         args={"name": name},
     )
+    if path is not None and not spark.table(name).isEmpty():
+        spark.sql("DROP TABLE IDENTIFIER(:name)", args={"name": name})
+        raise ValueError(f"{path} already holds rows")

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeload.functions.nested import quoted
+from placeload.functions.nested import literal, quoted
 from placeload.operators.sharding import shard_by, shard_report
 from placeload.operators.upsert import upsert
 
@@ -107,7 +107,7 @@ def replace_rows(df: DataFrame, name: str) -> None:
     )
     path = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()[1]
     path = re.sub(r"-v[0-9a-f]{32}$", "", path.rstrip("/")) + f"-v{version}"
-    location = "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    location = literal(path)
     spark.sql(f"CREATE TABLE {staged} LIKE {table} USING parquet LOCATION {location}")
     try:
         write_table(df, staged, "append")

@@ -34,6 +34,15 @@ def test_hot_key_is_split_over_tasks(spark, skewed, small_partitions, tmp_path):
     assert max(one_task) > 20_000
 
 
+def test_hot_key_is_split_without_adaptive_execution(spark, skewed, tmp_path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        split = sizes(shard_by(skewed, "k", 8), str(tmp_path / "a"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(split) == 60_000 and max(split) < 15_000 and len(split) == 8
+
+
 def test_small_keys_stay_together(spark, tmp_path):
     spark.range(0, 8000, 1, 8).select((F.col("id") % 100).alias("k")).write.parquet(str(tmp_path / "s"))
     placed = shard_by(spark.read.parquet(str(tmp_path / "s")), "k", 8)
