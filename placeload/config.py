@@ -15,8 +15,10 @@ class LoadConfig:
     """What a load job reads, where it writes and how.
 
     Without ``jdbc_url`` the destination is a catalog table. ``limit=None`` loads all rows.
-    ``num_partitions`` is the number of concurrent JDBC writers; ``jdbc_options`` go to
-    the driver (``jdbc.option.<name>`` in the Spark configuration).
+    ``num_partitions`` caps the JDBC connections by the number of tasks that write, and so
+    the load to as many tasks. ``None`` (0 in the Spark configuration) keeps every task small
+    and leaves the cap to the cores the application is given. ``jdbc_options`` go to the driver
+    (``jdbc.option.<name>`` in the Spark configuration).
     """
 
     source: str
@@ -28,7 +30,7 @@ class LoadConfig:
     jdbc_password: str | None = field(default=None, repr=False)
     jdbc_driver: str | None = None
     jdbc_options: Mapping[str, str] = field(default_factory=dict)
-    num_partitions: int = 4
+    num_partitions: int | None = 4
     batch_size: int = 1000
     shards: int | None = None
     path: str | None = None
@@ -36,11 +38,10 @@ class LoadConfig:
     def __post_init__(self) -> None:
         if self.limit is not None and self.limit < 0:
             raise ValueError(f"limit must not be negative, got {self.limit}")
-        for name in ("num_partitions", "batch_size"):
-            if getattr(self, name) < 1:
-                raise ValueError(f"{name} must be at least 1, got {getattr(self, name)}")
-        if self.shards is not None and self.shards < 1:
-            raise ValueError(f"shards must be at least 1, got {self.shards}")
+        for name in ("num_partitions", "batch_size", "shards"):
+            value = getattr(self, name)
+            if value is not None and value < 1:
+                raise ValueError(f"{name} must be at least 1, got {value}")
 
     @classmethod
     def from_spark(cls, spark: SparkSession, prefix: str = PREFIX) -> LoadConfig:
@@ -75,7 +76,7 @@ class LoadConfig:
                 for key, value in spark.conf.getAll.items()
                 if key.startswith(prefix + "jdbc.option.")
             },
-            num_partitions=number("num_partitions", 4),
+            num_partitions=number("num_partitions", 4) or None,
             batch_size=number("batch_size", 1000),
             shards=number("shards", None),
             path=text("path"),

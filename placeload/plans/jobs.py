@@ -53,7 +53,8 @@ def load_flat(
         merged, write = merge_into(rows, config.dest_table, keys, order_by)
         return observed_write(merged, KEY_NAME, write, source.count())
     target = jdbc_target(config)
-    present = read_jdbc(spark, target, _range_column(rows, keys), config.num_partitions)
+    ranges = config.num_partitions or spark.sparkContext.defaultParallelism
+    present = read_jdbc(spark, target, _range_column(rows, keys), ranges)
     report = observed_write(
         upsert(present, rows, keys, order_by),
         KEY_NAME,

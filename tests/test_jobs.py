@@ -113,6 +113,14 @@ def test_load_over_jdbc(spark, places, jdbc, shards):
     assert target_schema(spark, jdbc).names[0] == "cell_key"
 
 
+def test_load_over_jdbc_without_a_writer_cap(spark, flat, jdbc):
+    config = jdbc_config(flat, jdbc, num_partitions=None)
+    for _ in range(2):
+        report = load_flat(spark, config, keys=["id"])
+        assert (report.rows_in, report.rows_out, report.null_keys) == (100, 100, 0)
+    assert read_jdbc(spark, jdbc).count() == 100
+
+
 def test_rows_stored_twice_are_noticed(spark, places, jdbc, monkeypatch):
     from placeload.plans import jobs
 

@@ -137,6 +137,11 @@ def test_config_defaults(spark):
     assert (config.limit, config.num_partitions, config.batch_size) == (None, 4, 1000)
 
 
+def test_config_without_a_writer_cap(spark):
+    config = settings(spark, {"source": "s", "dest_table": "d", "num_partitions": "0"})
+    assert config.num_partitions is None
+
+
 def test_config_values(spark):
     config = settings(
         spark,
@@ -157,7 +162,8 @@ def test_config_values(spark):
     [
         {}, {"source": "s"}, {"source": "s", "dest_table": "d", "limit": "None"},
         {"source": "s", "dest_table": "d", "limit": "-1"},
-        {"source": "s", "dest_table": "d", "num_partitions": "0"},
+        {"source": "s", "dest_table": "d", "num_partitions": "-1"},
+        {"source": "s", "dest_table": "d", "batch_size": "0"},
         {"source": "s", "dest_table": "d", "shards": "0"},
     ],
 )
