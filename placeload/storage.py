@@ -15,19 +15,19 @@ def is_local(spark: SparkSession) -> bool:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or set as the checkpoint directory.
 
-    Only a local session without that setting gets a folder of this machine. On a cluster
-    such a folder would not be shared, so there the setting is required.
+    Only a local session without either gets a folder of this machine. On a cluster such a
+    folder would not be shared, so there the setting is required.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
     if not is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="placeload-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="placeload-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
