@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,8 @@ from placeload.sources.parquet import read_table
 from placeload.sources.tables import merge_into, write_table
 from placeload.storage import materialize
 
+LOG = logging.getLogger(__name__)
+
 
 def load_places(
     spark: SparkSession, config: LoadConfig, mode: str = "overwrite_truncate"
@@ -39,8 +42,9 @@ def load_flat(
     """Flat load: typed columns, then the cell key (resolution 6 by default).
 
     Appends; with ``keys`` it updates the rows whose key the destination already has, and
-    reports the rows written, old ones included. Over JDBC that is the whole table. A database that updates on an existing primary key by
-    itself needs no ``keys``: set its flag in ``config.jdbc_options`` and append.
+    reports the rows written, old ones included. Over JDBC that is the whole table. A database
+    that updates on an existing primary key by itself needs no ``keys``: set its flag in
+    ``config.jdbc_options`` and append.
     """
     source = read_table(spark, config.source, config.limit)
     rows = append_cell_key(source, 6 if config.resolution is None else config.resolution)
@@ -51,7 +55,7 @@ def load_flat(
 
     if config.jdbc_url is None:
         merged, write = merge_into(rows, config.dest_table, keys, order_by)
-        return observed_write(merged, KEY_NAME, write, source.count())
+        return _logged(observed_write(merged, KEY_NAME, write, source.count()), config)
     target = jdbc_target(config)
     ranges = config.num_partitions or spark.sparkContext.defaultParallelism
     present = read_jdbc(spark, target, _range_column(rows, keys), ranges)
@@ -67,7 +71,7 @@ def load_flat(
         source.count(),
     )
     _check_stored(spark, target, report)
-    return report
+    return _logged(report, config)
 
 
 def jdbc_target(config: LoadConfig) -> JdbcTarget:
@@ -120,6 +124,11 @@ def _store(rows: DataFrame, config: LoadConfig, mode: str) -> LoadReport:
     report = observed_write(rows, KEY_NAME, write, rows_in)
     if config.jdbc_url is not None and mode != "append":
         _check_stored(rows.sparkSession, jdbc_target(config), report)
+    return _logged(report, config)
+
+
+def _logged(report: LoadReport, config: LoadConfig) -> LoadReport:
+    LOG.info("%s into %s: %s", config.source, config.dest_table, report)
     return report
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from placeload.functions.nested import literal, quoted
 from placeload.operators.sharding import shard_by, shard_report
-from placeload.operators.upsert import upsert
+from placeload.operators.upsert import latest_by_key, rows_not_in
 
 MODES = ("overwrite_truncate", "overwrite_create", "append")
 
@@ -105,7 +105,7 @@ def replace_rows(df: DataFrame, name: str) -> None:
         ".".join(map(quoted, n.split(".")))
         for n in (name, f"{name}_v{version}", f"{name}_old_v{version}")
     )
-    path = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()[1]
+    path = _described(df, name, "Location")
     path = re.sub(r"-v[0-9a-f]{32}$", "", path.rstrip("/")) + f"-v{version}"
     location = literal(path)
     spark.sql(f"CREATE TABLE {staged} LIKE {table} USING parquet LOCATION {location}")
@@ -114,7 +114,7 @@ def replace_rows(df: DataFrame, name: str) -> None:
     except Exception:
         spark.sql(f"DROP TABLE {staged}")
         raise
-    if _partition_columns(df, name):
+    if _columns(df, name, "isPartition"):
         spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
         spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
         spark.sql(f"DROP TABLE {old}")
@@ -139,11 +139,17 @@ def merge_into(
     touched = touched_partitions(incoming, name, keys)
     if touched is not None:
         target = target.where(touched)
-    merged = upsert(target, incoming, keys, order_by)
-    partitions = [F.col(quoted(c)) for c in _partition_columns(incoming, name)]
+    kept, latest = rows_not_in(target, incoming, keys), latest_by_key(incoming, keys, order_by)
+    partitions, buckets = (_columns(incoming, name, kind) for kind in ("isPartition", "isBucket"))
+    # Else every task would write a file into every partition, or into every bucket. What is
+    # read from a bucket stays in it.
     if partitions:
-        # Else every task would write a file into every partition.
-        merged = merged.hint("rebalance", *partitions)
+        merged = kept.unionByName(latest).hint("rebalance", *_cols(partitions))
+    elif buckets:
+        number = int(_described(incoming, name, "Num Buckets"))
+        merged = kept.unionByName(latest.hint("rebalance", number, *_cols(buckets)))
+    else:
+        merged = kept.unionByName(latest)
     return merged, lambda df: (replace_rows if touched is None else replace_partitions)(df, name)
 
 
@@ -158,8 +164,17 @@ def upsert_table(
     write(rows)
 
 
-def _partition_columns(df: DataFrame, name: str) -> list[str]:
-    return [c.name for c in df.sparkSession.catalog.listColumns(name) if c.isPartition]
+def _columns(df: DataFrame, name: str, kind: str) -> list[str]:
+    return [c.name for c in df.sparkSession.catalog.listColumns(name) if getattr(c, kind)]
+
+
+def _cols(names: Sequence[str]) -> list[Column]:
+    return [F.col(quoted(n)) for n in names]
+
+
+def _described(df: DataFrame, name: str, property: str) -> str:
+    table = df.sparkSession.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name})
+    return table.where(F.col("col_name") == property).first()["data_type"]
 
 
 def touched_partitions(
@@ -170,7 +185,7 @@ def touched_partitions(
     None if that may be all of them: the table has no partitions, they do not follow from
     the key, or more than ``most`` are touched.
     """
-    columns = _partition_columns(incoming, name)
+    columns = _columns(incoming, name, "isPartition")
     if not columns or not set(columns) <= set(keys):
         return None
     found = incoming.select(*map(quoted, columns)).distinct().limit(most + 1).collect()

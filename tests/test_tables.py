@@ -10,6 +10,7 @@ from placeload import (
     scratch_path,
     upsert,
     upsert_table,
+    write_sharded,
     write_table,
 )
 from placeload.plans.tables import CATEGORIES, PLACES
@@ -195,3 +196,15 @@ def test_upsert_of_nothing(spark, partitioned):
     before = files(spark, partitioned)
     upsert_table(spark.table(partitioned).limit(0), partitioned, ["day", "region", "k"])
     assert files(spark, partitioned) == before and spark.table(partitioned).count() == 30
+
+
+def test_upsert_into_a_bucketed_table(spark, name, tmp_path):
+    write_sharded(spark.range(5000).select(F.col("id").alias("k"), F.lit("x").alias("v")), name, "k", 8, path=str(tmp_path / "t"))
+    incoming = spark.range(4000, 6000, 1, 6).select(F.col("id").alias("k"), F.lit("y").alias("v"))
+    upsert_table(incoming, name, ["k"])
+    found = spark.table(name)
+    assert found.count() == 6000 and found.where("v = 'y' AND k >= 4000").count() == 2000
+    assert "Exchange" not in plan(found.groupBy("k").count())
+    assert found.groupBy("k").count().where("count > 1").count() == 0
+    # A file per bucket from the old rows, and no more than that from the new.
+    assert len(files(spark, name)) <= 16
