@@ -13,6 +13,7 @@ from placeload.operators.report import LoadReport, observed_write
 from placeload.operators.sharding import shard_by
 from placeload.operators.upsert import latest_by_key, upsert
 from placeload.plans.places import KEY_NAME, append_cell_key, places_frame
+from placeload.plans.tables import TableDef, create_or_replace
 from placeload.sources.jdbc import JdbcTarget, read_jdbc, row_count, table_exists, write_jdbc
 from placeload.sources.parquet import read_table
 from placeload.sources.tables import merge_into, write_table
@@ -22,15 +23,19 @@ LOG = logging.getLogger(__name__)
 
 
 def load_places(
-    spark: SparkSession, config: LoadConfig, mode: str = "overwrite_truncate"
+    spark: SparkSession,
+    config: LoadConfig,
+    mode: str = "overwrite_truncate",
+    table: TableDef | None = None,
 ) -> LoadReport:
     """Nested load: cell key first (resolution 3 by default), nested columns as JSON text.
 
-    Reads the source once. Rows are shuffled only if ``config.shards`` is set.
+    Reads the source once. Rows are shuffled only if ``config.shards`` is set. A destination
+    that has to be created gets the text widths of ``table``, and unbounded text without it.
     """
     source = read_table(spark, config.source, config.limit)
     rows = places_frame(source, 3 if config.resolution is None else config.resolution)
-    return _store(rows, config, mode)
+    return _store(rows, config, mode, table)
 
 
 def load_flat(
@@ -98,12 +103,15 @@ def _range_column(rows: DataFrame, keys: Sequence[str]) -> str:
     return next((k for k in keys if isinstance(types[k], ranged)), KEY_NAME)
 
 
-def _store(rows: DataFrame, config: LoadConfig, mode: str) -> LoadReport:
+def _store(
+    rows: DataFrame, config: LoadConfig, mode: str, table: TableDef | None = None
+) -> LoadReport:
+    spark = rows.sparkSession
     # Without a limit all rows of the source are written. Otherwise the parquet footers
     # tell how many there were.
     rows_in = None
     if config.limit is not None:
-        rows_in = rows.sparkSession.read.parquet(config.source).count()
+        rows_in = spark.read.parquet(config.source).count()
     # Sharded before it is observed: the last stage counts each of its tasks once.
     if config.shards is not None:
         rows = shard_by(rows, KEY_NAME, config.shards)
@@ -111,19 +119,25 @@ def _store(rows: DataFrame, config: LoadConfig, mode: str) -> LoadReport:
     def write(df: DataFrame) -> None:
         if config.jdbc_url is None:
             sort_by = None if config.shards is None else KEY_NAME
-            write_table(df, config.dest_table, mode, config.path, sort_by)
+            fresh = mode == "overwrite_create" or not _exists(spark, config)
+            if table is not None and fresh:
+                create_or_replace(spark, config.dest_table, table, config.path)
+                write_table(df, config.dest_table, "append", sort_by=sort_by)
+            else:
+                write_table(df, config.dest_table, mode, config.path, sort_by)
         else:
             write_jdbc(
                 df,
                 jdbc_target(config),
                 mode,
+                widths=None if table is None else table.widths,
                 num_partitions=config.num_partitions,
                 batch_size=config.batch_size,
             )
 
     report = observed_write(rows, KEY_NAME, write, rows_in)
     if config.jdbc_url is not None and mode != "append":
-        _check_stored(rows.sparkSession, jdbc_target(config), report)
+        _check_stored(spark, jdbc_target(config), report)
     return _logged(report, config)
 
 
