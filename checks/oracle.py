@@ -120,7 +120,7 @@ def oracles() -> dict[str, str]:
             FROM places
         """,
         "q_constants": """
-            SELECT o_orderkey AS order_key, 6 AS resolution, DATE '2023-03-14' AS run_date FROM orders
+            SELECT o_orderkey AS order_key, 6 AS resolution, '2023-03-14' AS run_date FROM orders
         """,
         "q_group_count": """
             SELECT nullif(event_type, 'error') AS event_type, count(*) AS count FROM events GROUP BY 1
@@ -204,7 +204,7 @@ def oracles() -> dict[str, str]:
             WHERE o_orderstatus = 'F' GROUP BY o_orderpriority
         """,
         "q_sql_script": """
-            SELECT o_custkey AS customer, count(*) AS orders, DATE '2023-03-14' AS run_date
+            SELECT o_custkey AS customer, count(*) AS orders, '2023-03-14' AS run_date
             FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey
         """,
         "q_sql_params": """

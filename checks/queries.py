@@ -155,7 +155,7 @@ def q_constants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_key"),
         F.lit(6).alias("resolution"),
-        F.lit("2023-03-14").cast("date").alias("run_date"),
+        F.lit("2023-03-14").alias("run_date"),
     )
 
 
@@ -429,7 +429,7 @@ def q_sql_script(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT :ds;
         CREATE TEMPORARY VIEW {found} AS
             SELECT o_custkey, o_orderdate FROM {orders} WHERE o_orderstatus = 'O';
-        SELECT o_custkey AS customer, count(*) AS orders, max(CAST(:ds AS DATE)) AS run_date
+        SELECT o_custkey AS customer, count(*) AS orders, max(:ds) AS run_date
         FROM {found} GROUP BY o_custkey;
         """,
         {"ds": "2023-03-14"},
