@@ -99,7 +99,7 @@ def _exists(spark: SparkSession, config: LoadConfig) -> bool:
 def _range_column(rows: DataFrame, keys: Sequence[str]) -> str:
     """A column that JDBC can read in ranges: of the primary key if possible."""
     types = {f.name: f.dataType for f in rows.schema}
-    ranged = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    ranged = (T.NumericType, T.DateType)
     return next((k for k in keys if isinstance(types[k], ranged)), KEY_NAME)
 
 
