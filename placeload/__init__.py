@@ -15,7 +15,7 @@ from placeload.operators.upsert import latest_by_key, upsert
 from placeload.plans.jobs import load_flat, load_places
 from placeload.plans.places import append_cell_key, places_frame
 from placeload.plans.sql import run_script, run_sql
-from placeload.plans.tables import ColumnDef, TableDef, create_or_replace
+from placeload.plans.tables import CATEGORIES, PLACES, ColumnDef, TableDef, create_or_replace
 from placeload.sources.jdbc import (
     JdbcTarget,
     read_jdbc,
@@ -29,10 +29,12 @@ from placeload.sources.tables import replace_rows, upsert_table, write_sharded,
 from placeload.storage import materialize, scratch_path
 
 __all__ = [
+    "CATEGORIES",
     "ColumnDef",
     "JdbcTarget",
     "LoadConfig",
     "LoadReport",
+    "PLACES",
     "TableDef",
     "append_cell_key",
     "check_constraints",
