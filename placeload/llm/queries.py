@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from placeload.llm.common import table
 from placeload.llm.exact_dedup import exact_dedup
+from placeload.llm.language_id import identify
+from placeload.llm.line_quality import line_quality
 from placeload.llm.packing import pack, token_pieces
 from placeload.llm.sharding import shard_rows
 from placeload.llm.toxicity import score_toxicity
@@ -36,6 +38,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), RULES)
 
 
+def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("labels")
+
+
 def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard_rows(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -47,6 +53,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
 
