@@ -24,17 +24,33 @@ def id_remainder(doc_id: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
-def located(docs: DataFrame, *columns: str) -> DataFrame:
+def located(docs: DataFrame, *columns: str | Column) -> DataFrame:
     """``columns`` with ``file`` and ``pos``: the row's place, the same in every reading.
 
     Rows that do not come straight from files are written to the shared folder first, since
     only then do they have a place that a lost executor cannot change.
     """
+    placed = with_place(docs, *columns)
+    return placed if placed is not None else with_place(materialize(docs.select(*columns), "located"), "*")
+
+
+def with_place(docs: DataFrame, *columns: str | Column) -> DataFrame | None:
     try:
         return docs.select(*columns, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("pos"))
     except AnalysisException:
-        stored = materialize(docs.select(*columns), "located")
-        return located(stored, *columns)
+        return None
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs``, read from files so that its rows have a place."""
+    return docs if with_place(docs) is not None else materialize(docs, "documents")
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` (see ``placed``) with all its columns, less the rows at the places (file, pos) of ``gone``."""
+    gone = gone.select("file", "pos").alias("gone")
+    at = [F.col("_metadata.file_path") == F.col("gone.file"), F.col("_metadata.row_index") == F.col("gone.pos")]
+    return docs.join(gone, at, "left_anti")
 
 
 def partitions(spark: SparkSession) -> int:

@@ -13,11 +13,10 @@ table gives an empty result. Only ``doc_id`` and ``text`` are read, whatever els
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeload.llm.common import SPACE, located
+from placeload.llm.common import SPACE, located, placed, without
 from placeload.storage import materialize, scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -71,11 +70,11 @@ def exact_groups(docs: DataFrame, files_per_batch: int = 64, digest=lambda text:
     ``holder`` is (no_id, doc_id, file, pos) of the row that stays. ``digest`` makes the key of
     the state from the normalised text; results do not depend on it.
     """
-    placed = located(docs, "doc_id", "text")
+    rows = located(docs, "doc_id", "text")
     spark = docs.sparkSession
     path = scratch_path(spark, "entries")
     entry = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "pos").alias("entry")
-    placed.select(digest(normalised("text")).alias("digest"), entry).write.parquet(path)
+    rows.select(digest(normalised("text")).alias("digest"), entry).write.parquet(path)
     entries = spark.read.parquet(path)
     groups = materialize(
         entries.join(digest_state(entries, path, files_per_batch), "digest").select("digest", "entry", "holder", "group_size"),
@@ -83,7 +82,7 @@ def exact_groups(docs: DataFrame, files_per_batch: int = 64, digest=lambda text:
     )
     several = groups.filter("group_size > 1").select("digest", "entry", "holder", "entry.file", "entry.pos")
     texts = materialize(
-        placed.select("file", "pos", normalised("text").alias("full_text")).join(several, ["file", "pos"]), "texts"
+        rows.select("file", "pos", normalised("text").alias("full_text")).join(several, ["file", "pos"]), "texts"
     )
     stays = F.expr("entry = holder")
     first = texts.filter(stays).select("digest", F.col("full_text").alias("held_text"))
@@ -129,11 +128,6 @@ def exact_dedup(docs: DataFrame, files_per_batch: int = 64) -> DataFrame:
 
 def drop_copies(docs: DataFrame, files_per_batch: int = 64) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    try:
-        docs.select("_metadata.row_index")
-    except AnalysisException:
-        docs = materialize(docs, "documents")
+    docs = placed(docs)
     groups = exact_groups(docs, files_per_batch)
-    gone = groups.filter("NOT (file = holder.file AND pos = holder.pos)").select("file", "pos")
-    at = [F.col("_metadata.file_path") == F.col("gone.file"), F.col("_metadata.row_index") == F.col("gone.pos")]
-    return docs.join(gone.alias("gone"), at, "left_anti")
+    return without(docs, groups.filter("NOT (file = holder.file AND pos = holder.pos)"))

@@ -9,8 +9,10 @@ from placeload.llm.common import table
 from placeload.llm.exact_dedup import exact_dedup
 from placeload.llm.language_id import identify
 from placeload.llm.line_quality import line_quality
+from placeload.llm.near_dedup import near_dedup
 from placeload.llm.packing import pack, token_pieces
 from placeload.llm.sharding import shard_rows
+from placeload.llm.suffix_dedup import suffix_dedup
 from placeload.llm.toxicity import score_toxicity
 from placeload.llm.url_filter import filter_urls
 
@@ -49,6 +51,10 @@ def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -57,6 +63,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
 
