@@ -72,9 +72,9 @@ def shingle_hashes(bodies: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         if b - a >= WORDS:
             hashes = np.sort(full[a : b - WORDS + 1])
         else:
-            one = U(b - a)
-            for w in words[a:b]:
-                one = one * U(0xD1342543DE82EF95) + w
+            one = int(b - a)
+            for w in words[a:b].tolist():
+                one = (one * 0xD1342543DE82EF95 + w) & (2**64 - 1)
             hashes = mix(np.array([one] if b > a else [], np.uint64))
         new = np.ones(len(hashes), bool)
         new[1:] = hashes[1:] != hashes[:-1]

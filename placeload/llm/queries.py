@@ -11,6 +11,7 @@ from placeload.llm.language_id import identify
 from placeload.llm.line_quality import line_quality
 from placeload.llm.near_dedup import near_dedup
 from placeload.llm.packing import pack, token_pieces
+from placeload.llm.piece_sampling import sampled_segmentations
 from placeload.llm.sharding import shard_rows
 from placeload.llm.suffix_dedup import suffix_dedup
 from placeload.llm.toxicity import score_toxicity
@@ -32,6 +33,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampled_segmentations(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 

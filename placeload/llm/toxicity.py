@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeload.llm.common import id_remainder
+from placeload.llm.common import id_remainder, unused
 from placeload.storage import materialize
 
 #: Labelled rows of either label the classifier is fitted on, at most.
@@ -291,3 +291,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, p
     return docs.select(
         "doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), score_column(scorer).alias("score")
     ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, per_class: int = PER_CLASS) -> DataFrame:
+    """The rows of ``docs`` below the threshold, with all their columns."""
+    scorer, score = fit(docs, labels, per_class), unused(docs, "score")
+    return docs.withColumn(score, score_column(scorer)).filter(F.col(score) < threshold).drop(score)
