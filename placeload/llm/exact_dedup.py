@@ -13,14 +13,35 @@ table gives an empty result. Only ``doc_id`` and ``text`` are read, whatever els
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeload.llm.common import SPACE, located, placed, without
 from placeload.storage import materialize, scratch_path
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STATE = "spark.sql.streaming.stateStore."
+#: State on disk; changes are stored, not copies of the whole; no disk is taken in advance for each of many small stores.
+SETTINGS = {
+    STATE + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE + "rocksdb.changelogCheckpointing.enabled": "true",
+    STATE + "rocksdb.allowFAllocate": "false",
+}
+
+
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Settings that a stream takes over when it starts; the session gets its own back."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def normalised(text: str) -> Column:
@@ -31,9 +52,7 @@ def digest_state(entries: DataFrame, path: str, files_per_batch: int = 64) -> Da
     """Per digest the holder and the number of rows, kept by a stream over the files at ``path``."""
     spark = entries.sparkSession
     updates = scratch_path(spark, "digests")
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
-    try:
+    with settings(spark, SETTINGS):
         query = (
             spark.readStream.schema(entries.schema)
             .option("maxFilesPerTrigger", files_per_batch)
@@ -46,11 +65,6 @@ def digest_state(entries: DataFrame, path: str, files_per_batch: int = 64) -> Da
             .foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(f"{updates}/batch={number}"))
             .start()
         )
-    finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
     query.awaitTermination()
     held = f"digest string, holder {entries.schema['entry'].dataType.simpleString()}, group_size long"
     if not query.lastProgress:
