@@ -188,10 +188,10 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = materialize(large.filter("a <> b").distinct(), "large")
-        small = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         pairs = large.join(small, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         pairs = materialize(pairs.unionByName(small.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "links")
         # Settled once every node has one link, to a root that has none, and nothing changes.
@@ -293,7 +293,9 @@ def near_classes(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS,
     nodes = materialize(nodes, "nodes")
     filed = nodes.select("node", F.explode("bands").alias("bucket"))
     buckets = filed.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least <> most")
-    members = materialize(filed.join(buckets.select("bucket", "least"), "bucket"), "members")
+    # Written, so that the join can split the nodes of a bucket that very many share.
+    buckets = materialize(buckets.select("bucket", "least"), "buckets")
+    members = materialize(filed.join(buckets, "bucket"), "members")
     pairs = members.filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "holder.file", "holder.pos")
     texts = materialize(located(docs, "text").join(wanted, ["file", "pos"]).select("node", "text"), "texts")
