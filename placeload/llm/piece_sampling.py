@@ -31,7 +31,7 @@ from placeload.llm.common import chunks, mix, uniform
 #: Segmentations of each text.
 SAMPLES = 2
 #: Characters of a word after which it is cut, and of text worked on at once.
-LONGEST, CHUNK = 32, 300_000
+LONGEST, CHUNK = 32, 1_500_000
 #: Log probability of a character that no piece has and that is written as bytes.
 UNKNOWN = -12.0
 #: Node values below this are only drawn if a choice could depend on them.
@@ -69,14 +69,17 @@ class Vocabulary:
         top = weights.max()
         self.log = weights - (top + math.log(np.exp(weights - top).sum()))
         self.log = np.append(self.log, UNKNOWN)  # the last entry stands for bytes
-        self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.known: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for length, found in by_length.items():
             hashes = np.zeros(len(found), np.uint64)
             points = np.array([p for p, _ in found])
             for k in range(length):
-                hashes = mix(hashes + points[:, k].astype(np.uint64) + _STEP)
+                hashes = rolled(hashes, points[:, k])
             order = np.argsort(hashes)
-            self.known[length] = (hashes[order], np.array([n for _, n in found], np.int32)[order])
+            # A table of 20 bits of the hash rules out most places before the search.
+            perhaps = np.zeros(1 << 20, bool)
+            perhaps[hashes >> U(44)] = True
+            self.known[length] = (hashes[order], np.array([n for _, n in found], np.int32)[order], perhaps)
         self.longest = min(LONGEST, max(self.known))
 
     def decode(self, ids) -> str:
@@ -85,6 +88,11 @@ class Vocabulary:
         return found[1:] if found.startswith(" ") else found
 
 
+def rolled(hashes: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Hashes of strings, from those without their last character."""
+    return (hashes + points + U(1)) * U(0xD1342543DE82EF95)
+
+
 def vocabulary(path: str) -> Vocabulary:
     if path not in _vocabularies:
         _vocabularies[path] = Vocabulary(path)
@@ -118,64 +126,96 @@ class Lattice:
             length = np.diff(at, append=len(all_points))
         self.doc = np.searchsorted(ends, at, side="right")
         # Distinct words, by the hash of their characters.
-        order = np.zeros(len(at), np.uint64) + length.astype(np.uint64)
+        name = length.astype(np.uint64)
         live = np.arange(len(at))
         for k in range(int(length.max())):
-            live = live[length[live] > k]
-            order[live] = mix(order[live] + all_points[at[live] + k].astype(np.uint64) + _STEP)
-        _, first, word = np.unique(order, return_index=True, return_inverse=True)
+            if k:
+                live = live[length[live] > k]
+            name[live] = rolled(name[live], all_points[at[live] + k])
+        _, first, word = np.unique(name, return_index=True, return_inverse=True)
         width = length[first]
         self.start = (np.cumsum(width) - width)[word]
         total = int(width.sum())
         spots = np.repeat(at[first] - (np.cumsum(width) - width), width) + np.arange(total)
         self.points = all_points[spots]
-        self.rest = np.repeat(np.cumsum(width), width) - np.arange(total)
+        self.rest = (np.repeat(np.cumsum(width), width) - np.arange(total)).astype(np.int16)
         self._arcs(words)
 
     def _arcs(self, words: Vocabulary) -> None:
-        total, most = len(self.points), words.longest
-        wide = np.concatenate([self.points, np.zeros(most, np.uint32)]).astype(np.uint64)
-        self.piece = np.full((most, total), -1, np.int32)
-        hashes, live = np.zeros(total, np.uint64), np.arange(total)
-        for k in range(most):
-            live = live[self.rest[live] > k]
-            hashes[live] = mix(hashes[live] + wide[live + k] + _STEP)
-            if k + 1 in words.known:
-                keys, ids = words.known[k + 1]
-                place = np.minimum(np.searchsorted(keys, hashes[live]), len(keys) - 1)
-                hit = keys[place] == hashes[live]
-                self.piece[k, live[hit]] = ids[place[hit]]
-        bytes_only = self.piece[0] < 0
-        self.piece[0, bytes_only] = len(words.log) - 1
-        weight = np.where(self.piece >= 0, np.exp(words.log)[self.piece], 0.0)
-        ahead = np.zeros(total + most + 1)
-        by_rest = np.argsort(self.rest, kind="stable")
-        cuts = np.searchsorted(self.rest[by_rest], np.arange(1, LONGEST + 2))
-        for d in range(1, LONGEST + 1):
-            at = by_rest[cuts[d - 1] : cuts[d]]
-            if len(at):
-                value = np.zeros(len(at))
-                for k in range(min(d, most)):
-                    weight[k, at] *= 1.0 if k + 1 == d else ahead[at + k + 1]
-                    value += weight[k, at]
-                ahead[at] = value
-        weight /= ahead[:total]
-        self.share = weight.T.copy()  # probability of each arc at its place
-        self.until = np.cumsum(self.share, axis=1)
-        self.piece = self.piece.T.copy()
+        """Arcs in order of their place: length, piece and probability given the place."""
+        total = len(self.points)
+        found, hashes, live = [], np.zeros(total, np.uint64), np.arange(total)
+        count = np.zeros(total, np.int16)
+        for k in range(words.longest):
+            if k:
+                stay = self.rest[live] > k
+                live, hashes = live[stay], hashes[stay]
+            hashes = rolled(hashes, self.points[live + k])
+            if k + 1 not in words.known:
+                continue
+            keys, ids, perhaps = words.known[k + 1]
+            some = perhaps[hashes >> U(44)].nonzero()[0]
+            spot = np.minimum(np.searchsorted(keys, hashes[some]), len(keys) - 1)
+            hit = keys[spot] == hashes[some]
+            place, piece = live[some[hit]], ids[spot[hit]]
+            if k == 0:
+                known = np.zeros(total, bool)
+                known[place] = True
+                raw = (~known).nonzero()[0]  # no piece: written as bytes
+                place = np.concatenate([place, raw])
+                piece = np.concatenate([piece, np.full(len(raw), len(words.log) - 1, np.int32)])
+            count[place] += 1
+            found.append((k + 1, place, piece))
+        self.first = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
+        size = int(self.first[-1])
+        self.length, self.piece = np.empty(size, np.int8), np.empty(size, np.int32)
+        fill = self.first[:-1].copy()
+        for k, place, piece in found:
+            slot = fill[place]
+            self.length[slot], self.piece[slot] = k, piece
+            fill[place] = slot + 1
+        place = np.repeat(np.arange(total), count)
+        weight, target = np.exp(words.log)[self.piece], place + self.length
+        rest = self.rest[place]
+        order = np.argsort(rest, kind="stable")
+        cuts = np.searchsorted(rest[order], np.arange(1, LONGEST + 2))
+        closes = self.length == rest
+        ahead = np.zeros(total + 1)
+        for d in range(LONGEST):
+            arcs = order[cuts[d] : cuts[d + 1]]
+            if len(arcs):
+                weight[arcs] *= np.where(closes[arcs], 1.0, ahead[target[arcs]])
+                np.add.at(ahead, place[arcs], weight[arcs])
+        weight /= ahead[place]
+        self.share = weight
+        # The arc drawn by u at a place is where place + u falls in one increasing list.
+        until = np.cumsum(weight)
+        self.until = until - (np.concatenate([[0.0], until])[self.first[:-1]] - np.arange(total))[place]
+
+    def draw(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
+        arc = np.searchsorted(self.until, place + u, side="right")
+        return np.minimum(np.maximum(arc, self.first[place]), self.first[place + 1] - 1)
 
     def walk(self, place: np.ndarray, word: np.ndarray, step: np.ndarray, seed: np.ndarray) -> dict[str, np.ndarray]:
         """Draw arcs from ``place`` to the end of each word; the nodes come in order of word and step."""
-        found = []
-        while len(place):
-            u = uniform(mix(seed + mix(word.astype(np.uint64) * U(64) + step.astype(np.uint64))))
-            arc = np.minimum((self.until[place] <= u[:, None] * self.until[place, -1][:, None]).sum(1), self.until.shape[1] - 1)
-            found.append((word, step, place, arc))
-            stay = self.rest[place] > arc + 1
-            place, word, step, seed = (place + arc + 1)[stay], word[stay], step[stay] + 1, seed[stay]
-        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 4
-        order = np.argsort(columns[0] * 64 + columns[1], kind="stable")
-        return dict(zip(("word", "step", "place", "arc"), (c[order] for c in columns), strict=True))
+        order = np.argsort(place, kind="stable")  # close places are found faster one after the other
+        token, first, now = order, step, place[order]
+        seed = mix(seed[order] + word[order].astype(np.uint64) * U(64) + step[order].astype(np.uint64))
+        found, count = [], np.zeros(len(place), np.int64)
+        while len(now):
+            arc = self.draw(now, uniform(mix(seed + U(len(found)) * _STEP)))
+            found.append((token, now, arc))
+            count[token] += 1
+            ahead = self.length[arc]
+            stay = self.rest[now] > ahead
+            now, token, seed = (now + ahead)[stay], token[stay], seed[stay]
+        begin = np.cumsum(count) - count
+        places, arcs = np.empty(count.sum(), np.int64), np.empty(count.sum(), np.int64)
+        for n, (token, now, arc) in enumerate(found):
+            slot = begin[token] + n
+            places[slot], arcs[slot] = now, arc
+        steps = np.arange(len(places)) - np.repeat(begin - first, count)
+        return {"word": np.repeat(word, count), "step": steps, "place": places, "arc": arcs}
 
 
 class Path:
@@ -183,16 +223,14 @@ class Path:
 
     def __init__(self, lattice: Lattice, nodes: dict[str, np.ndarray], first: int, taken: np.ndarray, value: float):
         self.nodes, self.first, self.value = nodes, first, value
-        p = lattice.share[nodes["place"], nodes["arc"]]
+        p = lattice.share[nodes["arc"]]
         self.log = np.concatenate([[0.0], np.cumsum(np.log(p))])
         # What the other arcs of each node weigh; at the node it left another path those taken before do not count.
         self.others = np.maximum(0.0, 1.0 - p)
         self.taken = taken
         if len(self.others):
-            used = lattice.share[nodes["place"][first], taken].sum() if len(taken) else 0.0
-            left = lattice.share[nodes["place"][first]].sum() - used - p[first]
             if len(taken):
-                self.others[first] = max(0.0, left)
+                self.others[first] = max(0.0, 1.0 - lattice.share[taken].sum() - p[first])
         self.open: np.ndarray | None = None
 
     def left_behind(self, seed: int) -> tuple[float, int]:
@@ -260,18 +298,18 @@ def _extend(lattice: Lattice, paths: list[list[Path]], turns: list, seeds: np.nd
     for d, parent, node, value in turns:
         place, arc = parent.nodes["place"][node], parent.nodes["arc"][node]
         gone = np.append(parent.taken, arc) if node == parent.first else np.array([arc])
-        share = lattice.share[place].copy()
-        share[gone] = 0.0
+        share = lattice.share[lattice.first[place] : lattice.first[place + 1]].copy()
+        share[gone - lattice.first[place]] = 0.0
         u = uniform(mix(seeds[d : d + 1] + U(n * 1_000_003 + 17)))[0] * share.sum()
-        new = int(min(np.searchsorted(np.cumsum(share), u, side="right"), share.nonzero()[0][-1]))
+        new = int(lattice.first[place]) + int(min(np.searchsorted(np.cumsum(share), u, side="right"), share.nonzero()[0][-1]))
         parent.open[node - parent.first] = -np.inf
         starts.append((d, parent, node, value, gone, place, new))
     begin, word, step, seed = [], [], [], []
     for d, parent, node, _, _, place, new in starts:
         w, s = parent.nodes["word"][node], parent.nodes["step"][node]
         later = np.arange(w + 1, first_word[d + 1])
-        if lattice.rest[place] > new + 1:
-            begin.append([place + new + 1]), word.append([w]), step.append([s + 1])
+        if lattice.rest[place] > lattice.length[new]:
+            begin.append([place + lattice.length[new]]), word.append([w]), step.append([s + 1])
             seed.append(seeds[d : d + 1] + U(n))
         begin.append(lattice.start[later]), word.append(later), step.append(np.zeros(len(later), np.int64))
         seed.append(np.full(len(later), seeds[d] + U(n)))
@@ -286,7 +324,7 @@ def _extend(lattice: Lattice, paths: list[list[Path]], turns: list, seeds: np.nd
 
 
 def _ids(lattice: Lattice, path: Path, words: Vocabulary) -> tuple[np.ndarray, float]:
-    ids = lattice.piece[path.nodes["place"], path.nodes["arc"]]
+    ids = lattice.piece[path.nodes["arc"]]
     raw = (ids == len(words.log) - 1).nonzero()[0]
     if len(raw):
         written = [list(chr(lattice.points[path.nodes["place"][n]]).encode("utf-8", "surrogatepass")) for n in raw]
