@@ -70,11 +70,13 @@ def digest_state(entries: DataFrame, path: str, files_per_batch: int = 64) -> Da
     if not query.lastProgress:
         return spark.createDataFrame([], held)
     # Each batch gives the state of the digests it touched: sizes only grow, holders only fall.
-    return (
+    # Written, so that a join with it can split the rows of a digest that very many have.
+    return materialize(
         spark.read.schema(held + ", batch int")
         .parquet(updates)
         .groupBy("digest")
-        .agg(F.min("holder").alias("holder"), F.max("group_size").alias("group_size"))
+        .agg(F.min("holder").alias("holder"), F.max("group_size").alias("group_size")),
+        "state",
     )
 
 
