@@ -106,7 +106,7 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], registers: int) -> np.
 def _points(times, owner, shingle, inside, rate, horizon, low) -> None:
     """Draw the points of one interval until the horizon: ``inside`` of its ``rate`` heights count."""
     registers = times.shape[1]
-    state = mix(shingle + U(((low + 1) * 0x9E3779B97F4A7C15) & (2**64 - 1)))
+    state = mix(mix(shingle) + U(((low + 1) * 0x9E3779B97F4A7C15) & (2**64 - 1)))
     share = np.minimum(1.0, inside / rate)
     now = np.zeros(len(owner))
     flat = times.reshape(-1)
@@ -285,6 +285,7 @@ def further_links(members: DataFrame, roots: DataFrame, texts: DataFrame, simila
 
 def near_classes(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """Per row: doc_id, file, pos, holder (no_id, doc_id, file, pos of the class's first row), class_size."""
+    docs = placed(docs.select("doc_id", "text"))
     signed = materialize(banded(docs, bands, rows), "signed")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "pos")
     nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(

@@ -66,6 +66,7 @@ class Vocabulary:
                 by_length.setdefault(len(piece), []).append((code_points(piece), n))
                 weights[n] = -math.log(rank + 2.7)
                 rank += 1
+        self.table = [self.pieces.get(n, b"") for n in range(len(weights))]
         top = weights.max()
         self.log = weights - (top + math.log(np.exp(weights - top).sum()))
         self.log = np.append(self.log, UNKNOWN)  # the last entry stands for bytes
@@ -84,8 +85,11 @@ class Vocabulary:
 
     def decode(self, ids) -> str:
         """The text of a segmentation: bytes of its pieces, without the blank put before it."""
-        found = b"".join([self.pieces[n] for n in ids]).decode("utf-8", "replace")
-        return found[1:] if found.startswith(" ") else found
+        return self.written(ids)[1:].decode("utf-8", "replace")
+
+    def written(self, ids) -> bytes:
+        """The bytes of a segmentation, with the blank put before it."""
+        return b"".join(map(self.table.__getitem__, ids))
 
 
 def rolled(hashes: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -125,6 +129,8 @@ class Lattice:
             at = np.repeat(at, parts) + offset * LONGEST
             length = np.diff(at, append=len(all_points))
         self.doc = np.searchsorted(ends, at, side="right")
+        self.first_word = np.searchsorted(self.doc, np.arange(len(texts) + 1))
+        self.ordinal = (np.arange(len(at)) - self.first_word[self.doc]).astype(np.uint64)
         # Distinct words, by the hash of their characters.
         name = length.astype(np.uint64)
         live = np.arange(len(at))
@@ -148,7 +154,7 @@ class Lattice:
         count = np.zeros(total, np.int16)
         for k in range(words.longest):
             if k:
-                stay = self.rest[live] > k
+                stay = (self.rest[live] > k).nonzero()[0]
                 live, hashes = live[stay], hashes[stay]
             hashes = rolled(hashes, self.points[live + k])
             if k + 1 not in words.known:
@@ -200,10 +206,10 @@ class Lattice:
         """Draw arcs from ``place`` to the end of each word; the nodes come in order of word and step."""
         order = np.argsort(place, kind="stable")  # close places are found faster one after the other
         token, first, now = order, step, place[order]
-        seed = mix(seed[order] + word[order].astype(np.uint64) * U(64) + step[order].astype(np.uint64))
+        seed = mix(seed[order] + self.ordinal[word[order]] * U(64) + step[order].astype(np.uint64))
         found, count = [], np.zeros(len(place), np.int64)
         while len(now):
-            arc = self.draw(now, uniform(mix(seed + U(len(found)) * _STEP)))
+            arc = self.draw(now, uniform(mix(seed + U(len(found) << 56))))
             found.append((token, now, arc))
             count[token] += 1
             ahead = self.length[arc]
@@ -260,11 +266,9 @@ def sample_pieces(texts: list[str], keys: list[int], words: Vocabulary, k: int)
     if lattice.empty:
         return [[(np.zeros(0, np.int32), 0.0, 0.0, 1.0)] for _ in texts]
     seeds = mix(np.array([key & (2**64 - 1) for key in keys], np.uint64) + U(0x1234567))
-    first_word = np.searchsorted(lattice.doc, np.arange(len(texts) + 1))
-    count = np.diff(first_word)
-    word = np.arange(len(lattice.doc)) - first_word[lattice.doc]
-    nodes = lattice.walk(lattice.start, np.arange(len(word)), np.zeros(len(word), np.int64), seeds[lattice.doc])
-    cuts = np.searchsorted(nodes["word"], first_word)
+    count, word = np.diff(lattice.first_word), np.arange(len(lattice.doc))
+    nodes = lattice.walk(lattice.start, word, np.zeros(len(word), np.int64), seeds[lattice.doc])
+    cuts = np.searchsorted(nodes["word"], lattice.first_word)
     paths: list[list[Path]] = []
     none = np.zeros(0, np.int64)
     for d in range(len(texts)):
@@ -285,14 +289,14 @@ def sample_pieces(texts: list[str], keys: list[int], words: Vocabulary, k: int)
             if n < k and value > -np.inf:
                 turns.append((d, mine[parent], node, value))
         if turns:
-            _extend(lattice, paths, turns, seeds, first_word, n)
+            _extend(lattice, paths, turns, seeds, n)
     return [
         [(*_ids(lattice, p, words), p.value, _inclusion(p, thresholds[d])) for p in mine] or [(np.zeros(0, np.int32), 0.0, 0.0, 1.0)]
         for d, mine in enumerate(paths)
     ]
 
 
-def _extend(lattice: Lattice, paths: list[list[Path]], turns: list, seeds: np.ndarray, first_word: np.ndarray, n: int) -> None:
+def _extend(lattice: Lattice, paths: list[list[Path]], turns: list, seeds: np.ndarray, n: int) -> None:
     """Start the next path of some texts where another one left its best arcs behind."""
     starts = []
     for d, parent, node, value in turns:
@@ -307,7 +311,7 @@ def _extend(lattice: Lattice, paths: list[list[Path]], turns: list, seeds: np.nd
     begin, word, step, seed = [], [], [], []
     for d, parent, node, _, _, place, new in starts:
         w, s = parent.nodes["word"][node], parent.nodes["step"][node]
-        later = np.arange(w + 1, first_word[d + 1])
+        later = np.arange(w + 1, lattice.first_word[d + 1])
         if lattice.rest[place] > lattice.length[new]:
             begin.append([place + lattice.length[new]]), word.append([w]), step.append([s + 1])
             seed.append(seeds[d : d + 1] + U(n))
@@ -315,7 +319,7 @@ def _extend(lattice: Lattice, paths: list[list[Path]], turns: list, seeds: np.nd
         seed.append(np.full(len(later), seeds[d] + U(n)))
     drawn = lattice.walk(*(np.concatenate(x).astype(np.int64) for x in (begin, word, step)), mix(np.concatenate(seed)))
     for d, parent, node, value, gone, place, new in starts:
-        a, b = np.searchsorted(drawn["word"], [parent.nodes["word"][node], first_word[d + 1]])
+        a, b = np.searchsorted(drawn["word"], [parent.nodes["word"][node], lattice.first_word[d + 1]])
         own = {}
         turn = {"word": parent.nodes["word"][node], "step": parent.nodes["step"][node], "place": place, "arc": new}
         for name, v in parent.nodes.items():
@@ -359,9 +363,10 @@ def sampled_segmentations(docs: DataFrame, path: str, samples: int = SAMPLES, se
                 keys = [(i or 0) * 0x10001 + seed for i, _ in held]
                 rows = []
                 for (doc_id, text), found in zip(held, sample_pieces([t for _, t in held], keys, words, samples), strict=True):
+                    whole = f" {text}".encode() if text else b""
                     for n, (ids, log, value, inclusion) in enumerate(found):
                         crc = zlib.crc32(ids.astype("<u4").tobytes())
-                        row = (doc_id, n, len(ids), log, value, inclusion, crc, words.decode(ids.tolist()) == text)
+                        row = (doc_id, n, len(ids), log, value, inclusion, crc, words.written(ids.tolist()) == whole)
                         rows.append((*row, ids) if with_ids else row)
                 names = [x.split()[0] for x in schema.split(", ")]
                 made = pd.DataFrame(rows, columns=names)

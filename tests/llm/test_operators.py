@@ -1,0 +1,408 @@
+"""Each operator on a small table of hard cases, against brute force or known answers."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from placeload.llm import exact_dedup as exact
+from placeload.llm import language_id, line_quality, near_dedup, packing, piece_sampling, sharding, suffix_dedup, toxicity
+from placeload.llm import url_filter
+from placeload.llm.queries import RULES, vocabulary
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, Keep_ID long, score double, kept string, file int"
+WORDS = "the of and mouse river stone cloud table winter green lamp forest bridge copper silent meadow candle harbor".split()
+EMPTY: list = []
+
+
+def prose(seed: int, n: int) -> str:
+    return " ".join(WORDS[(seed * 7919 + k * k * 31 + k * (seed % 13 + 3)) % len(WORDS)] + str((seed * k) % 7) for k in range(n))
+
+
+LONG = prose(5, 4000)
+HARD = [
+    (1, prose(1, 60)), (2, prose(1, 60) + " end"), (3, "  " + prose(1, 60).replace(" ", " \n\t")), (4, None), (5, ""),
+    (6, " \n "), (7, "a"), (8, "a b c"), (9, "a b c"), (9, "a b c"), (None, prose(2, 40)), (None, None), (12, prose(2, 40)),
+    (13, LONG), (14, "x" + LONG), (15, "é☃" * 80), (16, "é☃" * 80), (17, "aaaa" * 50), (18, prose(3, 30) + prose(1, 60)),
+    (-3, prose(3, 30)), (20, "  　"), (21, "word " * 40), (22, "word " * 41),
+]
+
+
+@pytest.fixture(params=["memory", "files"])
+def docs(request, spark, tmp_path):
+    rows = [(i, t, None, "s", None, 0, None, "x", 1) for i, t in HARD]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    if request.param == "files":
+        df.write.parquet(str(tmp_path / "docs"))
+        df = spark.read.parquet(str(tmp_path / "docs"))
+    return df
+
+
+@pytest.fixture
+def nothing(spark):
+    return spark.createDataFrame(EMPTY, SCHEMA)
+
+
+def normal(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def sortable(rows):
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+def test_exact_dedup(docs, nothing):
+    wanted = []
+    groups = {}
+    for n, (i, t) in enumerate(HARD):
+        groups.setdefault(normal(t), []).append((i is None, i or 0, n))
+    for n, (i, t) in enumerate(HARD):
+        group = groups[normal(t)]
+        wanted.append((HARD[min(group)[2]][0], len(group), hashlib.sha256(normal(t).encode()).hexdigest(), i))
+    found = exact.exact_dedup(docs).collect()
+    assert sortable((r["keep_id"], r["group_size"], r["text_sha256"], r["doc_id"]) for r in found) == sortable(wanted)
+    assert sum(r["kept"] for r in found) == len(groups)
+    assert all(r["doc_id"] == r["keep_id"] for r in found if r["kept"])
+    assert exact.exact_dedup(nothing).collect() == []
+    left = exact.drop_copies(docs)
+    assert left.columns == docs.columns and left.count() == len(groups)
+
+
+def test_exact_dedup_reads_bytes_where_digests_collide(docs):
+    groups = exact.exact_groups(docs, digest=lambda text: F.substring(text, 1, 1))
+    sizes = Counter(normal(t) for _, t in HARD)
+    assert sorted(r["group_size"] for r in groups.collect()) == sorted(sizes[normal(t)] for _, t in HARD)
+
+
+def test_state_over_many_batches(spark, tmp_path):
+    path = str(tmp_path / "many")
+    spark.range(200).selectExpr("id AS doc_id", "cast(id % 20 AS string) AS text").repartition(10).write.parquet(path)
+    found = exact.exact_dedup(spark.read.parquet(path), files_per_batch=1).collect()
+    assert all(r["keep_id"] == r["doc_id"] % 20 and r["group_size"] == 10 for r in found) and len(found) == 200
+
+
+@pytest.mark.parametrize(("batch", "hot"), [(3 << 20, 256), (700, 256), (700, 0)])
+def test_suffix_dedup(docs, batch, hot):
+    key = [2**63 - 1 if i is None else i for i, _ in HARD]
+    bodies = [(t or "").encode() for _, t in HARD]
+    first: dict = {}
+    for i, b in sorted(zip(key, bodies, strict=True), key=lambda x: x[0]):
+        for p in range(len(b) - 49):
+            first.setdefault(b[p : p + 50], i)
+    wanted = []
+    for (doc_id, _), i, b in zip(HARD, key, bodies, strict=True):
+        gone = np.zeros(len(b), bool)
+        for p in range(len(b) - 49):
+            if first[b[p : p + 50]] < i:
+                gone[p : p + 50] = True
+        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        spans = sum(1 for p in range(len(b)) if gone[p] and not (p and gone[p - 1]))
+        wanted.append((doc_id, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    assert sortable(suffix_dedup.suffix_dedup(docs, batch, hot).collect()) == sortable(wanted)
+
+
+def test_suffix_dedup_stage(docs, nothing):
+    assert suffix_dedup.suffix_dedup(nothing).collect() == []
+    left = suffix_dedup.cut_repeats(docs)
+    assert left.columns == docs.columns and left.dtypes == docs.dtypes
+    texts = {r["doc_id"]: r["text"] for r in left.collect() if r["doc_id"] is not None}
+    assert texts[1] == prose(1, 60) and texts[4] is None and texts[5] == "" and 16 not in texts
+    assert texts[14] == "x" and texts[13] == LONG
+
+
+def test_suffix_blocks_cover_all_windows(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 300)
+    bodies = [LONG.encode()[:1000], b"", b"short", LONG.encode()[:50], LONG.encode()[500:1200]]
+    lengths = np.array([len(b) for b in bodies])
+    seen = []
+    for at, data, ends in suffix_dedup.blocks(b"".join(bodies), lengths):
+        e = suffix_dedup.Entries(data, ends)
+        for a, z in zip(e.start, e.last, strict=True):
+            seen += range(at + a, at + z + 1)
+    starts = np.cumsum(lengths) - lengths
+    assert sorted(seen) == [s + p for s, n in zip(starts, lengths, strict=True) for p in range(n - 49)]
+
+
+def test_near_dedup(docs, nothing):
+    bags = [near_dedup.bag(t or "") for _, t in HARD]
+    roots = list(range(len(HARD)))
+    for a, b in itertools.combinations(range(len(HARD)), 2):
+        if bags[a] and bags[b] and near_dedup.overlap(bags[a], bags[b]) >= 0.8:
+            old, new = roots[b], roots[a]
+            roots = [new if r == old else r for r in roots]
+    ids = {}
+    for n, (i, _) in enumerate(HARD):
+        ids.setdefault(roots[n], []).append((i is None, i or 0, n))
+    wanted = [(i, HARD[min(ids[roots[n]])[2]][0], len(ids[roots[n]])) for n, (i, _) in enumerate(HARD)]
+    found = near_dedup.near_dedup(docs).collect()
+    assert sortable((r["doc_id"], r["class_id"], r["class_size"]) for r in found) == sortable(wanted)
+    assert near_dedup.near_dedup(nothing).collect() == []
+    left = near_dedup.drop_near_copies(docs)
+    assert left.columns == docs.columns and left.count() == len(ids)
+
+
+def test_links_between_other_members_of_a_bucket(spark, tmp_path):
+    """Variants of one text that are close to it but not to each other, in blocks of a few."""
+    base = prose(9, 400).split()
+    rows = [(100, " ".join(base))]
+    for k in range(12):
+        changed = base.copy()
+        for n in range(8):
+            changed[k * 30 + n * 3] = f"new{k}x{n}"
+        rows.append((k, " ".join(changed)))
+    bags = [near_dedup.bag(t) for _, t in rows]
+    assert all(near_dedup.overlap(bags[0], b) >= 0.8 for b in bags[1:])
+    assert all(near_dedup.overlap(a, b) < 0.87 for a, b in itertools.combinations(bags[1:], 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dedup.near_classes(docs, similar=0.87, bands=60, rows=2, block=3).collect()
+    near = {a for a, b in enumerate(bags) if near_dedup.overlap(bags[0], b) >= 0.87}
+    assert len(near) == len(rows) and {r["holder"]["doc_id"] for r in found} == {0}
+
+
+def test_signatures_are_unbiased():
+    rng = np.random.default_rng(1)
+    a = (np.arange(1, 41, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), rng.integers(1, 9, 40))
+    b = (a[0][10:], np.concatenate([a[1][10:25], rng.integers(1, 9, 15)]))
+    wa, wb = dict(zip(a[0].tolist(), a[1], strict=True)), dict(zip(b[0].tolist(), b[1], strict=True))
+    true = sum(min(wa.get(s, 0), wb.get(s, 0)) for s in wa | wb) / sum(max(wa.get(s, 0), wb.get(s, 0)) for s in wa | wb)
+    times = near_dedup.signatures([a, b, (a[0][:0], a[1][:0])], 4000)
+    assert abs((times[0] == times[1]).mean() - true) < 4 * math.sqrt(true * (1 - true) / 4000)
+    assert np.isinf(times[2]).all() and np.isfinite(times[:2]).all()
+
+
+def test_components(spark):
+    chain = [(f"n{k:03d}", f"n{k + 1:03d}") for k in range(40)] + [("x", "y"), ("z", "x"), ("q", "q")]
+    found = dict(tuple(r) for r in near_dedup.components(spark.createDataFrame(chain, "a string, b string")).collect())
+    assert found == {f"n{k:03d}": "n000" for k in range(1, 41)} | {"y": "x", "z": "x"}
+    assert near_dedup.components(spark.createDataFrame(EMPTY, "a string, b string")).count() == 0
+
+
+def test_permutation():
+    for total in (1, 2, 3, 10, 1000, 4097):
+        image = sharding.permute(np.arange(total), total, key=3)
+        assert sorted(image.tolist()) == list(range(total))
+        assert sharding.permute(image, total, key=3, inverse=True).tolist() == list(range(total))
+    assert sharding.permute(np.arange(1000), 1000, 1).tolist() != sharding.permute(np.arange(1000), 1000, 2).tolist()
+
+
+def test_shards(docs, nothing):
+    found = sharding.shard_rows(docs, shards=5).collect()
+    assert sortable((r["doc_id"], r["size"], r["text_crc32"]) for r in found) == sortable(
+        (i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in HARD
+    )
+    counts = Counter(r["shard"] for r in found)
+    assert max(counts.values()) - min(counts[s] for s in range(5)) <= 1
+    for shard, n in counts.items():
+        assert sorted(r["slot"] for r in found if r["shard"] == shard) == list(range(n))
+    again = sharding.shard_rows(docs.repartition(7), shards=5).collect()
+    assert sortable(again) == sortable(found)
+    assert sharding.shard_rows(nothing).collect() == []
+
+
+def test_packing(docs, nothing):
+    from tokenizers import Tokenizer
+
+    path = vocabulary("byte_bpe_50k.json")
+    reference = Tokenizer.from_file(path)
+    reference.encode_special_tokens = True
+    pieces = packing.token_pieces(docs, path, length=64, with_ids=True)
+    found = packing.pack(pieces, 64).collect()
+    whole = Counter((i, *reference.encode(t or "", add_special_tokens=False).ids, 1) for i, t in HARD)
+    by = {}
+    for r in found:
+        assert zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] and len(r["ids"]) == r["length"] <= 64
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for spans in by.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= 64
+    assert sorted(by) == list(range(len(by)))
+    total = sum(r["length"] for r in found)
+    assert total == sum(len(w) - 1 for w in whole.elements()) and len(by) <= total / 64 * 1.1 + 1
+    twelve = sorted((r["start"], r["ids"]) for r in found if r["doc_id"] == 12)
+    assert (12, *(x for _, ids in twelve for x in ids)) in whole
+    assert packing.pack(packing.token_pieces(nothing, path)).collect() == []
+
+
+def test_encoder_takes_any_text():
+    encode = packing.encoder(vocabulary("byte_bpe_50k.json"))
+    for text in ("", " " * 50_000, "a" * 20_000, "<|endoftext|>", "é☃\x00\n", "\t \n" * 5000):
+        assert encode.ids(text) == encode.plain.encode(text, add_special_tokens=False).ids
+
+
+def test_patterns_use_every_length():
+    histogram = {5: 7, 3: 11, 2: 1, 1: 4, 10: 2}
+    made = packing.patterns(histogram, 10)
+    assert sum((Counter({s: c for s in set(p) for c in [n * p.count(s)]}) for p, n in made), Counter()) == Counter(histogram)
+    assert all(sum(p) <= 10 for p, _ in made) and packing.patterns({}, 10) == []
+
+
+def _segmentations(text, words):
+    known = {b.decode().replace(" ", "▁"): n for n, b in words.pieces.items() if words.log[n] > -np.inf}
+    units = re.findall("▁+[^▁]*", ("▁" + text).replace(" ", "▁"))
+
+    def ways(unit):
+        if not unit:
+            return [((), 0.0)]
+        out = []
+        for n in range(1, len(unit) + 1):
+            head = unit[:n]
+            if head in known:
+                step = ((known[head],), words.log[known[head]])
+            elif n == 1:
+                step = (tuple(b + words.first_byte for b in head.encode()), piece_sampling.UNKNOWN)
+            else:
+                continue
+            out += [(step[0] + ids, step[1] + w) for ids, w in ways(unit[n:])]
+        return out
+
+    found = {sum((p[0] for p in parts), ()): sum(p[1] for p in parts) for parts in itertools.product(*map(ways, units))}
+    total = np.logaddexp.reduce(list(found.values()))
+    return {ids: w - total for ids, w in found.items()}
+
+
+@pytest.mark.parametrize("text", ["ab c", "the é☃"])
+def test_samples_follow_the_lattice(text):
+    words = piece_sampling.vocabulary(vocabulary("piece_bpe_32k.model"))
+    law, n = _segmentations(text, words), 4000
+    found = piece_sampling.sample_pieces([text] * n, list(range(n)), words, 3)
+    for sample in found:
+        ids = [tuple(x[0].tolist()) for x in sample]
+        assert len(set(ids)) == len(ids) == min(3, len(law)) and all(words.decode(x) == text for x in ids)
+        assert all(abs(x[1] - law[i]) < 1e-6 for x, i in zip(sample, ids, strict=True))
+        assert [x[2] for x in sample] == sorted((x[2] for x in sample), reverse=True)
+    for rank, law_of_rank in ((0, {i: math.exp(w) for i, w in law.items()}), (1, None)):
+        if law_of_rank is None:
+            p = {i: math.exp(w) for i, w in law.items()}
+            law_of_rank = {i: sum(p[j] * p[i] / (1 - p[j]) for j in p if j != i) for i in p}
+        seen = Counter(tuple(s[rank][0].tolist()) for s in found)
+        assert all(abs(seen[i] / n - q) < 5 * math.sqrt(q * (1 - q) / n) + 1e-3 for i, q in law_of_rank.items())
+    # Weighted by inclusion, sums over the sample are unbiased.
+    estimate = sum(math.exp(x[1]) / x[3] for sample in found for x in sample) / n
+    assert abs(estimate - 1) < 0.02
+
+
+def test_all_segmentations_of_a_short_text():
+    words = piece_sampling.vocabulary(vocabulary("piece_bpe_32k.model"))
+    law = _segmentations("ab", words)
+    (found,) = piece_sampling.sample_pieces(["ab"], [7], words, 50)
+    assert {tuple(x[0].tolist()) for x in found} == set(law) and all(x[3] == 1.0 for x in found)
+
+
+def test_sampling_query(docs, nothing):
+    path = vocabulary("piece_bpe_32k.model")
+    found = piece_sampling.sampled_segmentations(docs, path).collect()
+    assert all(r["round_trip"] for r in found) and {r["doc_id"] for r in found} == {i for i, _ in HARD}
+    assert sum(r["sample"] == 0 for r in found) == len(HARD)
+    assert sortable(found) == sortable(piece_sampling.sampled_segmentations(docs.repartition(2), path).collect())
+    assert piece_sampling.sampled_segmentations(nothing, path).collect() == []
+
+
+def test_line_quality(docs, nothing, spark):
+    labels = spark.createDataFrame(EMPTY, "doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: r for r in line_quality.line_quality(docs, labels).collect() if r["doc_id"] is not None}
+    assert found[1]["n_words"] == 60 and not found[1]["base_failed"] and found[1]["kept"]
+    assert found[4]["n_words"] == found[5]["n_words"] == 0 and found[4]["base_failed"] and not found[4]["kept"]
+    assert found[21]["n_repeat_words"] == 40 and found[21]["base_failed"] and found[20]["n_words"] == 2
+    assert line_quality.line_quality(nothing, labels).collect() == []
+
+
+@pytest.mark.parametrize("text", ["a b c d e a b c d e", "a a a a a a", "x\n\nx\n x\nx", "#a *b\n|c|", LONG, "é   ☃\x0b", None])
+def test_base_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(words[n : n + 5]) for n in range(len(words) - 4)]
+    times = Counter(windows)
+    covered = {n + k for n, w in enumerate(windows) if times[w] > 1 for k in range(5)}
+    lines = (text or "").split("\n")
+    dup = sum(1 for n, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x) and x in lines[:n])
+    assert line_quality.base_counts(text) == {
+        "n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": len(re.findall(r"[#*$%&|<>]", text or "")),
+        "n_dup_lines": dup, "n_repeat_words": len(covered),
+    }
+
+
+def test_viterbi_against_all_labellings():
+    rng = np.random.default_rng(2)
+    for n in range(1, 7):
+        field = line_quality.Field(rng.normal(size=(line_quality.N_FEATURES, 2)), rng.normal(size=(2, 2)))
+        x = rng.normal(size=(n, line_quality.N_FEATURES))
+        e = x @ field.emit
+        score = lambda y: sum(e[k, v] for k, v in enumerate(y)) + sum(field.step[a, b] for a, b in zip(y, y[1:], strict=False))  # noqa: B023, E731
+        assert tuple(field.decode(x)) == max(itertools.product((0, 1), repeat=n), key=score)
+    assert field.decode(x[:0]).tolist() == []
+
+
+def test_restoration():
+    english = "you are an idiot and a moron or a worthless loser what a clown this is so stupid " * 50
+    counts = np.zeros(toxicity.SIDE**3, np.int64)
+    c = np.concatenate([[0, 0], toxicity.classes(english), [0]])
+    np.add.at(counts, (c[:-2] * toxicity.SIDE + c[1:-1]) * toxicity.SIDE + c[2:], 1)
+    restorer = toxicity.Restorer(toxicity.log_model(counts))
+    for disguised, plain in {
+        "1d10t": "idiot", "m0r0n": "moron", "idiooooot": "idiot", "w0rthl3$$": "worthless", "i.d.i.o.t": "idiot",
+        "cl0wn!!": "clown", "stup1d,": "stupid", "loser": "loser", "": "",
+    }.items():
+        assert restorer.token(disguised) == ([plain] if plain else []), disguised
+    assert "idiot" in restorer.spaced("you i d i o t")
+
+
+def test_toxicity_without_labels(docs, nothing, spark):
+    labels = spark.createDataFrame([(1, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    found = toxicity.score_toxicity(docs, labels).collect()
+    assert len(found) == len(HARD) and all(r["predicted"] == 0 and 0 <= r["score"] <= 1 for r in found)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in found if r["doc_id"] is not None)
+    assert toxicity.score_toxicity(nothing, labels).collect() == []
+    assert toxicity.drop_toxic(docs, labels).columns == docs.columns
+
+
+def test_language_without_labels(docs, nothing):
+    found = language_id.identify(docs).collect()
+    assert len(found) == len(HARD) and all(r["lang_pred"] == "und" for r in found)
+    assert language_id.identify(nothing).collect() == []
+
+
+def test_languages(spark):
+    rows = [(k, prose(k, 50), "en") for k in range(40)] + [(100 + k, "der die und ist nicht " + prose(k, 3), "de") for k in range(40)]
+    rows += [(200 + k, "le la est une avec dans " * 9, "fr") for k in range(40)] + [(300, None, "fr"), (301, "12 !", "en"), (302, "x", None)]
+    found = {r["doc_id"]: r for r in language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(found[i]["lang_pred"] == lang for i, _, lang in rows[:-3])
+    assert found[300]["lang_pred"] == found[301]["lang_pred"] == "und" and found[302]["lang_pred"] in ("en", "de", "fr")
+
+
+URLS = [
+    "http://WWW.Example.com/en/a?x#y", "https://example.com/en/", "https://a.example.com/en", "http://net/es/", "ftp://x.net/es/1",
+    "http://x.net", "no scheme", None, "", "://", "http://evilexample.com/en/", "http://a.com?/en/", "http://a.b.net/fr/#f",
+    "http://x.org/en/", "http://" + "a." * 3000 + "net/es/" + "b/" * 3000, "http://example.com/en/", "http://İ.com/",
+]
+
+
+def test_url_filter(spark):
+    pages = spark.createDataFrame([(n, u, None, "v") for n, u in enumerate(URLS)] + [(None, URLS[0], None, "v")], "page_id long, url string, host string, verdict string")
+    wanted = []
+    for n, u in [*enumerate(URLS), (None, URLS[0])]:
+        rest = u.split("://", 1)[1] if u and "://" in u else ""
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        host = "".join(c.lower() if c.isascii() else c for c in host)
+        fits = [r for r in RULES if (host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])]
+        best = max(fits, key=lambda r: len(r[1] + r[2]), default=None)
+        wanted.append((n, host, path, best and best[1] + best[2], best[0] if best else "allow"))
+    assert sortable(url_filter.filter_urls(pages, RULES).collect()) == sortable(wanted)
+    assert url_filter.filter_urls(pages.limit(0), RULES).collect() == []
+
+
+def test_rules_off_a_slash_and_empty_rules(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/english"), (2, "http://a.com/e")], "page_id long, url string")
+    found = {r["page_id"]: r["rule"] for r in url_filter.filter_urls(pages, [("block", "a.com", "/en"), ("allow", "com", "")]).collect()}
+    assert found == {1: "a.com/en", 2: "com"}
+    assert [r["verdict"] for r in url_filter.filter_urls(pages, [], "block").collect()] == ["block", "block"]
