@@ -91,7 +91,7 @@ WIDTH = "CASE " + " ".join(f"WHEN coalesce(max_length, 0) <= {2**i} THEN {2**i}"
 
 def oracles() -> dict[str, str]:
     return {
-        "q_read_table": "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, l_shipdate FROM lineitem",
+        "q_read_table": "SELECT * FROM lineitem",
         "q_row_count": "SELECT count(*) AS rows FROM lineitem",
         "q_limit_topk": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000",
         "q_limit_sorted": "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 1200",

@@ -76,9 +76,7 @@ def keyed(spark: SparkSession, sf_dir: str, resolution: int) -> DataFrame:
 
 
 def q_read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
-    )
+    return table(spark, sf_dir, "lineitem")
 
 
 def q_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,7 +253,8 @@ def q_create_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_sharded_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = fresh("sharded")
     rows = keyed(spark, sf_dir, 3)
-    pl.write_sharded(rows, name, KEY_NAME, SHARDS, path=pl.scratch_path(spark, name))
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pl.write_sharded(rows, name, KEY_NAME, shards, path=pl.scratch_path(spark, name))
     return spark.table(name)
 
 

@@ -30,7 +30,7 @@ class LoadConfig:
     jdbc_password: str | None = field(default=None, repr=False)
     jdbc_driver: str | None = None
     jdbc_options: Mapping[str, str] = field(default_factory=dict)
-    num_partitions: int | None = 4
+    num_partitions: int | None = None
     batch_size: int = 1000
     shards: int | None = None
     path: str | None = None
@@ -76,7 +76,7 @@ class LoadConfig:
                 for key, value in spark.conf.getAll.items()
                 if key.startswith(prefix + "jdbc.option.")
             },
-            num_partitions=number("num_partitions", 4) or None,
+            num_partitions=number("num_partitions", None) or None,
             batch_size=number("batch_size", 1000),
             shards=number("shards", None),
             path=text("path"),

@@ -55,7 +55,6 @@ def stringify_nested(df: DataFrame, scalars: str = "keep") -> DataFrame:
 
 
 def row_hash(schema: T.StructType) -> Column:
-    """A hash over all columns, to order rows that are otherwise equal."""
-    return F.xxhash64(
-        *[F.to_json(F.col(quoted(f.name))) if is_nested(f) else F.col(quoted(f.name)) for f in schema]
-    )
+    """A hash over all columns and which of them are NULL, to order rows that are otherwise equal."""
+    values = [F.to_json(F.col(quoted(f.name))) if is_nested(f) else F.col(quoted(f.name)) for f in schema]
+    return F.xxhash64(*[v.isNull() for v in values], *values)

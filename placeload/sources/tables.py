@@ -4,23 +4,36 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Sequence
-from functools import reduce
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from threading import Lock
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeload.functions.nested import literal, quoted
-from placeload.operators.sharding import shard_by, shard_report
+from placeload.operators.sharding import shard_by
 from placeload.operators.upsert import latest_by_key, rows_not_in
 
 MODES = ("overwrite_truncate", "overwrite_create", "append")
 
-# A bucket may hold this many times the average before buckets are given up.
-BUCKET_SKEW = 4
+# The end of a directory that ``replace_rows`` made.
+VERSION = r"-v[0-9a-f]{32}$"
 
-# Up to here an upsert rewrites the partitions it touches one by one, beyond it the table.
-TOUCHED_PARTITIONS = 1000
+OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+_overwriting = Lock()
+
+
+@contextmanager
+def overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Write with this overwrite mode, whatever the session's is; one such write at a time."""
+    with _overwriting:
+        before = spark.conf.get(OVERWRITE)
+        spark.conf.set(OVERWRITE, mode)
+        try:
+            yield
+        finally:
+            spark.conf.set(OVERWRITE, before)
 
 
 def write_table(
@@ -30,13 +43,15 @@ def write_table(
     path: str | None = None,
     sort_by: str | None = None,
     buckets: int | None = None,
+    partitions: str = "static",
 ) -> None:
     """Write ``df`` into the parquet table ``name``, in its present partitions.
 
     ``overwrite_truncate`` and ``append`` keep an existing table with its column types
     and its layout, and match columns by name; ``overwrite_create`` makes the table anew.
     An absent table is created in every mode, at ``path`` if given. ``sort_by`` sorts
-    within each task; with ``buckets`` it is also the bucket column of a new table.
+    within each task; with ``buckets`` it is also the bucket column of a new table. With
+    ``partitions="dynamic"`` a truncating write only replaces the partitions it has rows of.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
@@ -52,7 +67,8 @@ def write_table(
         df = df.select(*[quoted(c) for c in columns])
         if sort_by is not None:
             df = df.sortWithinPartitions(quoted(sort_by))
-        df.write.insertInto(name, overwrite=mode == "overwrite_truncate")
+        with overwrite_mode(spark, partitions):
+            df.write.insertInto(name, overwrite=mode == "overwrite_truncate")
         return
     if sort_by is not None and buckets is None:
         df = df.sortWithinPartitions(quoted(sort_by))
@@ -61,7 +77,8 @@ def write_table(
         writer = writer.bucketBy(buckets, sort_by).sortBy(sort_by)
     if path is not None:
         writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    with overwrite_mode(spark, "static"):
+        writer.saveAsTable(name)
 
 
 def write_sharded(
@@ -71,22 +88,16 @@ def write_sharded(
     shards: int,
     mode: str = "overwrite_create",
     path: str | None = None,
-) -> bool:
-    """Write ``df`` with rows of one key next to each other; returns if it is bucketed.
+    bucketed: bool = True,
+) -> None:
+    """Write ``df`` with rows of one key next to each other, in one pass.
 
     A new table gets ``shards`` buckets on the key, so that later joins and groupings on
-    it need no shuffle. But a bucket is read by one task. Where one would hold far more
-    than its part, the table is made without buckets: sorted files that readers can split.
+    it need no shuffle. But a bucket is read by one task: where ``shard_report`` shows one far
+    above the others, take ``bucketed=False`` for sorted files that readers can split. An
+    existing table that is kept also keeps its layout.
     """
-    keeps_table = mode != "overwrite_create" and df.sparkSession.catalog.tableExists(name)
-    bucketed = not keeps_table and _balanced(df, key, shards)
     write_table(shard_by(df, key, shards), name, mode, path, key, shards if bucketed else None)
-    return bucketed
-
-
-def _balanced(df: DataFrame, key: str, shards: int) -> bool:
-    sizes = [row["rows"] for row in shard_report(df, key, shards).collect()]
-    return not sizes or max(sizes) * shards <= BUCKET_SKEW * sum(sizes)
 
 
 def replace_rows(df: DataFrame, name: str) -> None:
@@ -95,7 +106,8 @@ def replace_rows(df: DataFrame, name: str) -> None:
     The rows are written once, into a new directory beside the old one, through a table
     of the same columns, widths and layout. Then the table is pointed at it, or, as a
     partitioned table keeps a path per partition, the two tables trade names. A failed write
-    leaves the table as it was. Old files of an external table stay.
+    leaves the table as it was. The old files go with the swap, but for those an external table was
+    made with.
     """
     if "`" in name:
         raise ValueError(f"a plain dotted table name is needed, got {name!r}")
@@ -105,8 +117,9 @@ def replace_rows(df: DataFrame, name: str) -> None:
         ".".join(map(quoted, n.split(".")))
         for n in (name, f"{name}_v{version}", f"{name}_old_v{version}")
     )
-    path = _described(df, name, "Location")
-    path = re.sub(r"-v[0-9a-f]{32}$", "", path.rstrip("/")) + f"-v{version}"
+    before = _described(df, name, "Location").rstrip("/")
+    ours = _described(df, name, "Type") == "MANAGED" or re.search(VERSION, before)
+    path = re.sub(VERSION, "", before) + f"-v{version}"
     location = literal(path)
     spark.sql(f"CREATE TABLE {staged} LIKE {table} USING parquet LOCATION {location}")
     try:
@@ -122,6 +135,9 @@ def replace_rows(df: DataFrame, name: str) -> None:
         spark.sql(f"ALTER TABLE {table} SET LOCATION {location}")
         spark.sql(f"DROP TABLE {staged}")
     spark.catalog.refreshTable(name)
+    if ours:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(before)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def merge_into(
@@ -173,27 +189,27 @@ def _cols(names: Sequence[str]) -> list[Column]:
 
 
 def _described(df: DataFrame, name: str, property: str) -> str:
-    table = df.sparkSession.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name})
-    return table.where(F.col("col_name") == property).first()["data_type"]
+    rows = df.sparkSession.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name}).collect()
+    # Columns come first, and one may have the property's name.
+    detail = [r["col_name"] for r in rows].index("# Detailed Table Information")
+    return next(r["data_type"] for r in rows[detail:] if r["col_name"] == property)
 
 
-def touched_partitions(
-    incoming: DataFrame, name: str, keys: Sequence[str], most: int = TOUCHED_PARTITIONS
-) -> Column | None:
-    """A condition that holds for every partition ``incoming`` can change.
+def touched_partitions(incoming: DataFrame, name: str, keys: Sequence[str]) -> Column | None:
+    """A condition that holds for just the partitions ``incoming`` can change.
 
-    None if that may be all of them: the table has no partitions, they do not follow from
-    the key, or more than ``most`` are touched.
+    None if that may be all of them: the table has no partitions, or they do not follow from
+    the key. The driver gets the partitions touched, as it gets those of any table it plans.
     """
     columns = _columns(incoming, name, "isPartition")
     if not columns or not set(columns) <= set(keys):
         return None
-    found = incoming.select(*map(quoted, columns)).distinct().limit(most + 1).collect()
-    if len(found) > most:
-        return None
-    return reduce(
-        Column.__and__, [F.col(quoted(c)).isin(list({row[c] for row in found})) for c in columns]
-    )
+    found = incoming.select(*map(quoted, columns)).distinct().collect()
+    if not found:
+        return F.lit(False)
+    # Whole combinations: the product of the single values would be far more.
+    given = [F.struct(*[F.lit(row[c]).alias(c) for c in columns]) for row in found]
+    return F.struct(*_cols(columns)).isin(given)
 
 
 def replace_partitions(df: DataFrame, name: str) -> None:
@@ -201,12 +217,5 @@ def replace_partitions(df: DataFrame, name: str) -> None:
 
     ``df`` may read the table: its new files are moved in place when all are written.
     """
-    spark = df.sparkSession
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        write_table(df, name, "overwrite_truncate")
-    finally:
-        spark.conf.set(mode, before)
-    spark.catalog.refreshTable(name)
+    write_table(df, name, "overwrite_truncate", partitions="dynamic")
+    df.sparkSession.catalog.refreshTable(name)

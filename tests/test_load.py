@@ -46,6 +46,12 @@ def test_sql_file(spark, name, tmp_path, capsys):
     assert "|2023-03-14|" in capsys.readouterr().out
 
 
+def test_sql_file_runs_its_last_query_in_full(spark, tmp_path):
+    (tmp_path / "f.sql").write_text("SELECT IF(id = 1000, raise_error('late'), id) FROM range(0, 2000, 1, 1)")
+    with pytest.raises(Exception, match="late"):
+        load.main(["sql", str(tmp_path / "f.sql")])
+
+
 @pytest.mark.parametrize("argv", [[], ["other"], ["sql"], ["sql", "f", "--arg", "x"], ["places", "--mode", "x"]])
 def test_bad_arguments(argv):
     with pytest.raises(SystemExit):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from placeload import stringify_nested
+from placeload.functions.nested import row_hash
 
 
 def texts(spark, sql):
@@ -92,3 +93,9 @@ def test_json_reads_back(spark, values):
     df = spark.createDataFrame([(v,) for v in values], f"s {schema}")
     back = stringify_nested(df).select(F.from_json("s", schema).alias("s"))
     assert [tuple(r.s) for r in back.collect()] == values
+
+
+def test_row_hash_tells_which_columns_are_null(spark):
+    both = spark.createDataFrame([(None, "a"), ("a", None)], "x string, y string")
+    first, second = (r[0] for r in both.select(row_hash(both.schema)).collect())
+    assert first != second

@@ -68,21 +68,23 @@ def test_bad_shards(skewed):
 
 
 def test_balanced_keys_are_bucketed(spark, skewed, name, tmp_path):
-    assert write_sharded(skewed, name, "id", 8, path=str(tmp_path / "b"))
+    write_sharded(skewed, name, "id", 8, path=str(tmp_path / "b"))
     assert rows(spark.table(name)) == rows(skewed)
     grouped = spark.table(name).groupBy("id").count()
     assert "Exchange" not in plan(grouped) and grouped.count() == 60_000
 
 
-def test_skewed_keys_are_not_bucketed(spark, name, tmp_path):
+def test_buckets_are_the_callers_choice(spark, name, tmp_path):
     spark.range(0, 60_000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k")).write.parquet(str(tmp_path / "s"))
     df = spark.read.parquet(str(tmp_path / "s"))
-    assert not write_sharded(df, name, "k", 64, path=str(tmp_path / "b"))
-    assert rows(spark.table(name)) == rows(df)
+    for bucketed in (True, False):
+        write_sharded(df, name, "k", 64, path=str(tmp_path / f"b{bucketed}"), bucketed=bucketed)
+        assert rows(spark.table(name)) == rows(df)
+        assert any(c.isBucket for c in spark.catalog.listColumns(name)) == bucketed
 
 
 def test_sharded_write_into_an_existing_table(spark, skewed, name, tmp_path):
     write_sharded(skewed, name, "id", 4, path=str(tmp_path / "b"))
-    assert not write_sharded(skewed.where("id < 10"), name, "id", 4, mode="append")
+    write_sharded(skewed.where("id < 10"), name, "id", 4, mode="append")
     assert spark.table(name).count() == 60_010
     assert "Exchange" not in plan(spark.table(name).groupBy("id").count())

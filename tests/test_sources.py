@@ -150,7 +150,7 @@ def settings(spark, values):
 def test_config_defaults(spark):
     config = settings(spark, {"source": "s", "dest_table": "d", "limit": ""})
     assert config == LoadConfig("s", "d")
-    assert (config.limit, config.num_partitions, config.batch_size) == (None, 4, 1000)
+    assert (config.limit, config.num_partitions, config.batch_size) == (None, None, 1000)
 
 
 def test_config_without_a_writer_cap(spark):

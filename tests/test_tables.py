@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,10 +168,38 @@ def test_touched_partitions_prune_the_scan(spark, partitioned):
     incoming = spark.table(partitioned).where("day = 'd1' AND region = 'b'")
     condition = touched_partitions(incoming, partitioned, ["day", "region", "k"])
     text = plan(spark.table(partitioned).where(condition))
-    assert "(day" in text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "day" in text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
     assert spark.table(partitioned).where(condition).count() == 5
     assert touched_partitions(incoming, partitioned, ["k"]) is None
-    assert touched_partitions(spark.table(partitioned), partitioned, ["day", "region"], most=2) is None
+    assert spark.table(partitioned).where(touched_partitions(incoming.limit(0), partitioned, ["day", "region"])).count() == 0
+
+
+def test_only_the_combinations_given_are_touched(spark, name, tmp_path):
+    spark.range(100).selectExpr("id AS v", "id div 10 AS a", "id % 10 AS b").write.partitionBy("a", "b").option("path", str(tmp_path / "t")).saveAsTable(name)
+    incoming = spark.table(name).where("a = b")
+    assert spark.table(name).where(touched_partitions(incoming, name, ["a", "b"])).count() == 10
+
+
+def test_upserts_of_a_managed_table_leave_one_directory(spark, name):
+    """Also with a column that is called as the property that is looked up."""
+    spark.range(10).selectExpr("id", "'x' AS Location").write.saveAsTable(name)
+    for n in range(3):
+        upsert_table(spark.range(n, n + 1).selectExpr("id", "'y' AS Location"), name, ["id"])
+    assert sorted(rows(spark.table(name))) == [(k, "y" if k < 3 else "x") for k in range(10)]
+    warehouse = Path(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:"))
+    assert len(list(warehouse.glob(f"{name}*"))) == 1
+    spark.sql(f"DROP TABLE {name}")
+    assert not list(warehouse.glob(f"{name}*"))
+
+
+def test_truncating_ignores_the_sessions_overwrite_mode(spark, partitioned):
+    one = spark.createDataFrame(spark.table(partitioned).limit(1).collect(), spark.table(partitioned).schema)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_table(one, partitioned, "overwrite_truncate")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert spark.table(partitioned).count() == 1
 
 
 def test_upsert_beyond_its_partitions_rewrites_the_table(spark, partitioned):
