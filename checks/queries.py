@@ -91,7 +91,7 @@ def q_limit_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An ordered limit taken from the sorted table instead of in one task."""
     path = f"{sf_dir}/orders.parquet"
     order = [F.col("o_totalprice").desc(), "o_orderkey"]
-    return pl.read_table(spark, path, limit=1200, order_by=order, one_task_rows=1000)
+    return pl.read_table(spark, path, limit=1200, order_by=order)
 
 
 def q_row_cap(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeload.functions.nested import row_hash
 from placeload.storage import materialize
 
-# Up to here one task may hold the rows of an ordered limit.
-ONE_TASK_ROWS = 100_000
+# Names for a row's file and its place in it, beside columns of any name.
+FILE, INDEX = "_placeload_file", "_placeload_index"
 
 
 def read_table(
@@ -20,7 +19,6 @@ def read_table(
     limit: int | None = None,
     order_by: Sequence[str | Column] | str | Column | None = None,
     base_path: str | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Read a parquet directory, one partition of it, or a single file.
 
@@ -29,8 +27,7 @@ def read_table(
     partition column prunes to the same files.
 
     ``limit`` keeps that many rows, or all if there are fewer. With ``order_by`` they are
-    the first in that order; beyond ``one_task_rows`` the sorted table is written to the
-    shared folder and its first files are read. Otherwise any rows may be kept.
+    the first in that order, not sorted; see ``first_rows``. Otherwise any rows may be kept.
     """
     if order_by is not None and limit is None:
         raise ValueError("order_by only chooses the rows of a limit")
@@ -42,30 +39,55 @@ def read_table(
         return df
     if order_by is None:
         return row_cap(df, limit)
-    order = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
-    if limit <= one_task_rows:
-        return df.orderBy(*order).limit(limit)
-    # The hash splits a value that many rows share over several tasks of the sort. Task
-    # numbers in file names stop sorting as text at the 100,000th, hence the padding.
-    in_order = materialize(df.orderBy(*order, row_hash(df.schema)), "ordered")
-    file = F.col("_metadata.file_name")
-    task = F.lpad(F.regexp_extract(file, r"^part-(\d+)", 1), 10, "0")
-    return row_cap(in_order, limit, F.concat(task, file))
+    return first_rows(df, limit, [order_by] if isinstance(order_by, (str, Column)) else list(order_by))
 
 
-def row_cap(df: DataFrame, limit: int, file_order: Column | None = None) -> DataFrame:
+def first_rows(df: DataFrame, limit: int, order: Sequence[str | Column]) -> DataFrame:
+    """The first ``limit`` rows in the given order, of a DataFrame that reads files.
+
+    Rows that are equal in the order are told apart by file and place in it, so the same rows are
+    kept whatever the limit. Only the order's columns and the places are dealt by range and sorted,
+    so no task gets more than its range, and a value that many rows share is split. Counts per range
+    say where the limit falls; the places up to there choose the rows.
+    """
+    if limit < 0:
+        raise ValueError(f"limit must not be negative, got {limit}")
+    spark = df.sparkSession
+    place = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(INDEX)]
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (
+        df.select("*", *place)
+        .repartitionByRange(ranges, *order, FILE, INDEX)
+        .sortWithinPartitions(*order, FILE, INDEX)
+        .select(FILE, INDEX, F.monotonically_increasing_id().alias("rank"))
+    )
+    places = materialize(ordered, "ordered")
+    number = F.shiftright("rank", 33)
+    left, kept = limit, F.lit(True)
+    for part, rows in places.groupBy(number.alias("part")).count().orderBy("part").toLocalIterator():
+        if rows >= left:
+            kept = F.col("rank") < (part << 33) + left
+            break
+        left -= rows
+    chosen = places.where(kept).select(FILE, INDEX).alias("chosen")
+    at = [
+        F.col("_metadata.file_path") == F.col(f"chosen.{FILE}"),
+        F.col("_metadata.row_index") == F.col(f"chosen.{INDEX}"),
+    ]
+    return df.join(chosen, at, "left_semi")
+
+
+def row_cap(df: DataFrame, limit: int) -> DataFrame:
     """Exactly ``limit`` rows, or all if there are fewer, of a DataFrame that reads files.
 
     ``limit()`` would open every file and send all kept rows through one task. Instead, whole
-    files are kept in order, by default of their paths, until the next would not fit, and the
+    files are kept in order of their paths until the next would not fit, and the
     first rows of that one. The counts come from the footers; files beyond are pruned before
     they are opened. The same rows are kept on every run.
-
-    ``file_order`` is an expression on ``_metadata`` that differs between files.
     """
     if limit < 0:
         raise ValueError(f"limit must not be negative, got {limit}")
-    file = F.col("_metadata.file_path") if file_order is None else file_order
+    file = F.col("_metadata.file_path")
     counts = df.select(file.alias("file")).groupBy("file").count().orderBy("file")
     left = limit
     for last, rows in counts.toLocalIterator():
