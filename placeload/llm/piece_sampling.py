@@ -31,7 +31,7 @@ from placeload.llm.common import chunks, mix, uniform
 #: Segmentations of each text.
 SAMPLES = 2
 #: Characters of a word after which it is cut, and of text worked on at once.
-LONGEST, CHUNK = 32, 1_500_000
+LONGEST, CHUNK = 32, 3_000_000
 #: Log probability of a character that no piece has and that is written as bytes.
 UNKNOWN = -12.0
 #: Node values below this are only drawn if a choice could depend on them.
@@ -150,7 +150,7 @@ class Lattice:
     def _arcs(self, words: Vocabulary) -> None:
         """Arcs in order of their place: length, piece and probability given the place."""
         total = len(self.points)
-        found, hashes, live = [], np.zeros(total, np.uint64), np.arange(total)
+        found, hashes, live = [], np.zeros(total, np.uint64), np.arange(total, dtype=np.int32)
         count = np.zeros(total, np.int16)
         for k in range(words.longest):
             if k:
@@ -180,7 +180,7 @@ class Lattice:
             slot = fill[place]
             self.length[slot], self.piece[slot] = k, piece
             fill[place] = slot + 1
-        place = np.repeat(np.arange(total), count)
+        place = np.repeat(np.arange(total, dtype=np.int32), count)
         weight, target = np.exp(words.log)[self.piece], place + self.length
         rest = self.rest[place]
         order = np.argsort(rest, kind="stable")
