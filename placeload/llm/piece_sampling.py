@@ -36,6 +36,8 @@ LONGEST, CHUNK = 32, 3_000_000
 UNKNOWN = -12.0
 #: Node values below this are only drawn if a choice could depend on them.
 DEEP = -120.0
+#: Parts of the range of a place's random number, each with the arc it starts in (a power of two).
+PARTS = 4
 #: No standard Gumbel value from a 53-bit number is larger than this.
 GUMBEL = 38.0
 
@@ -66,7 +68,8 @@ class Vocabulary:
                 by_length.setdefault(len(piece), []).append((code_points(piece), n))
                 weights[n] = -math.log(rank + 2.7)
                 rank += 1
-        self.table = [self.pieces.get(n, b"") for n in range(len(weights))]
+        self.table = np.empty(len(weights), object)
+        self.table[:] = [self.pieces.get(n, b"") for n in range(len(weights))]
         top = weights.max()
         self.log = weights - (top + math.log(np.exp(weights - top).sum()))
         self.log = np.append(self.log, UNKNOWN)  # the last entry stands for bytes
@@ -89,7 +92,7 @@ class Vocabulary:
 
     def written(self, ids) -> bytes:
         """The bytes of a segmentation, with the blank put before it."""
-        return b"".join(map(self.table.__getitem__, ids))
+        return b"".join(self.table[np.asarray(ids, np.int64)].tolist())
 
 
 def rolled(hashes: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -197,16 +200,26 @@ class Lattice:
         # The arc drawn by u at a place is where place + u falls in one increasing list.
         until = np.cumsum(weight)
         self.until = until - (np.concatenate([[0.0], until])[self.first[:-1]] - np.arange(total))[place]
+        # The arc at which the search starts for each PARTS-th of a place.
+        ended = np.bincount(np.ceil(self.until * PARTS).astype(np.int64), minlength=total * PARTS)
+        self.guide = np.cumsum(ended[: total * PARTS], dtype=np.int32)
+        self.last = (self.first[1:] - 1).astype(np.int32)
 
     def draw(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
-        arc = np.searchsorted(self.until, place + u, side="right")
-        return np.minimum(np.maximum(arc, self.first[place]), self.first[place + 1] - 1)
+        """One arc of each place: the first whose end in ``until`` lies beyond place + u."""
+        spot = place + u
+        arc = np.minimum(self.guide[(spot * PARTS).astype(np.int64)], self.last[place])
+        behind = ((self.until[arc] <= spot) & (arc < self.last[place])).nonzero()[0]
+        while len(behind):
+            arc[behind] += 1
+            now = arc[behind]
+            behind = behind[(self.until[now] <= spot[behind]) & (now < self.last[place[behind]])]
+        return arc
 
     def walk(self, place: np.ndarray, word: np.ndarray, step: np.ndarray, seed: np.ndarray) -> dict[str, np.ndarray]:
         """Draw arcs from ``place`` to the end of each word; the nodes come in order of word and step."""
-        order = np.argsort(place, kind="stable")  # close places are found faster one after the other
-        token, first, now = order, step, place[order]
-        seed = mix(seed[order] + self.ordinal[word[order]] * U(64) + step[order].astype(np.uint64))
+        token, first, now = np.arange(len(place)), step, place
+        seed = mix(seed + self.ordinal[word] * U(64) + step.astype(np.uint64))
         found, count = [], np.zeros(len(place), np.int64)
         while len(now):
             arc = self.draw(now, uniform(mix(seed + U(len(found) << 56))))
@@ -366,7 +379,7 @@ def sampled_segmentations(docs: DataFrame, path: str, samples: int = SAMPLES, se
                     whole = f" {text}".encode() if text else b""
                     for n, (ids, log, value, inclusion) in enumerate(found):
                         crc = zlib.crc32(ids.astype("<u4").tobytes())
-                        row = (doc_id, n, len(ids), log, value, inclusion, crc, words.written(ids.tolist()) == whole)
+                        row = (doc_id, n, len(ids), log, value, inclusion, crc, words.written(ids) == whole)
                         rows.append((*row, ids) if with_ids else row)
                 names = [x.split()[0] for x in schema.split(", ")]
                 made = pd.DataFrame(rows, columns=names)
