@@ -226,8 +226,7 @@ def q_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").drop("props")
-    return pl.latest_by_key(events, ["user_id"], order_by=["ts", "event_id"])
+    return pl.latest_by_key(table(spark, sf_dir, "events"), ["user_id"], order_by=["ts", "event_id"])
 
 
 def q_create_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,11 +293,12 @@ def q_load_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = fresh("reported")
+    """A load of half the rows and one of all of them."""
+    name, source = fresh("reported"), _places_source(spark, sf_dir)
     config = pl.LoadConfig(
-        source=_places_source(spark, sf_dir),
+        source=source,
         dest_table=name,
-        limit=1000,
+        limit=spark.read.parquet(source).count() // 2,
         path=pl.scratch_path(spark, name),
     )
     capped = pl.load_places(spark, config)

@@ -4,7 +4,8 @@
         --conf spark.placeload.source=s3a://bucket/table/dt=2023-03-14/ \\
         --conf spark.placeload.dest_table=geo.places  load.py places
 
-    spark-submit ... load.py flat --keys placeIdentifier --order-by updated
+    spark-submit ... load.py places --table places
+    spark-submit ... load.py flat --keys placeIdentifier --order-by updated --columns "a INT NOT NULL, b VARCHAR(8)"
     spark-submit ... load.py sql script.sql --arg schema=geo --arg ds=2023-03-14
 """
 
@@ -14,8 +15,11 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
-from placeload import LoadConfig, load_flat, load_places, run_script
+from placeload import CATEGORIES, PLACES, ColumnDef, LoadConfig, TableDef, load_flat, load_places, run_in_full, run_script
+
+TABLES = {"places": PLACES, "categories": CATEGORIES}
 
 
 def names(text: str) -> list[str]:
@@ -29,6 +33,14 @@ def bound(text: str) -> tuple[str, str]:
     return name, value
 
 
+def definition(given: argparse.Namespace) -> TableDef | None:
+    """The table to create if it is absent: a given one, or columns as in CREATE TABLE."""
+    if given.columns is None:
+        return TABLES.get(given.table)
+    fields = StructType.fromDDL(given.columns).fields
+    return TableDef(tuple(ColumnDef(f.name, f.dataType.simpleString(), f.nullable) for f in fields))
+
+
 def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -41,6 +53,10 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     flat = jobs.add_parser("flat", help="flat load; appends, or upserts by key")
     flat.add_argument("--keys", type=names)
     flat.add_argument("--order-by", type=names)
+    for job in (places, flat):
+        kind = job.add_mutually_exclusive_group()
+        kind.add_argument("--table", choices=sorted(TABLES))
+        kind.add_argument("--columns", help="columns as in CREATE TABLE")
     sql = jobs.add_parser("sql", help="statements of a file, in order")
     sql.add_argument("file")
     sql.add_argument("--arg", type=bound, action="append", default=[])
@@ -51,14 +67,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     given = arguments(argv)
     spark = SparkSession.builder.getOrCreate()
     if given.job == "places":
-        print(load_places(spark, LoadConfig.from_spark(spark), given.mode))
+        print(load_places(spark, LoadConfig.from_spark(spark), given.mode, definition(given)))
     elif given.job == "flat":
-        print(load_flat(spark, LoadConfig.from_spark(spark), given.keys, given.order_by))
+        print(load_flat(spark, LoadConfig.from_spark(spark), given.keys, given.order_by, definition(given)))
     else:
         text = spark.read.text(given.file, wholetext=True).first()["value"]
         result = run_script(spark, text, dict(given.arg))
         if result.columns:
-            result.write.format("noop").mode("overwrite").save()  # in full: a failure may come at any row
+            run_in_full(result, given.file)  # a failure may come at any row
             result.show()
 
 

@@ -14,7 +14,7 @@ from placeload.operators.sharding import shard_by, shard_report
 from placeload.operators.upsert import latest_by_key, upsert
 from placeload.plans.jobs import load_flat, load_places
 from placeload.plans.places import append_cell_key, places_frame
-from placeload.plans.sql import run_script, run_sql
+from placeload.plans.sql import run_in_full, run_script, run_sql
 from placeload.plans.tables import CATEGORIES, PLACES, ColumnDef, TableDef, create_or_replace
 from placeload.sources.jdbc import (
     JdbcTarget,
@@ -51,6 +51,7 @@ __all__ = [
     "read_table",
     "replace_rows",
     "row_cap",
+    "run_in_full",
     "run_script",
     "run_sql",
     "scratch_path",

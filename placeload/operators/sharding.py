@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +22,15 @@ def shard_by(df: DataFrame, key: str, shards: int) -> DataFrame:
     """
     if shards < 1:
         raise ValueError(f"shards must be at least 1, got {shards}")
+    return balanced(df, [key], shards)
+
+
+def balanced(df: DataFrame, columns: Sequence[str], parts: int | None = None) -> DataFrame:
+    """As ``shard_by``, for several columns; without ``parts`` as many as Spark's shuffles have."""
+    keys, number = [F.col(quoted(c)) for c in columns], [] if parts is None else [parts]
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
-        return df.repartitionByRange(shards, F.col(quoted(key)), row_hash(df.schema))
-    return df.hint("rebalance", shards, F.col(quoted(key)))
+        return df.repartitionByRange(*number, *keys, row_hash(df.schema))
+    return df.hint("rebalance", *number, *keys)
 
 
 def shard_report(df: DataFrame, key: str, shards: int) -> DataFrame:

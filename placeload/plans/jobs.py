@@ -5,13 +5,15 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placeload.config import LoadConfig
+from placeload.functions.nested import quoted
 from placeload.operators.report import LoadReport, observed_write
 from placeload.operators.sharding import shard_by
-from placeload.operators.upsert import latest_by_key, upsert
+from placeload.operators.upsert import fail_if, latest_by_key, upsert
 from placeload.plans.places import KEY_NAME, append_cell_key, places_frame
 from placeload.plans.tables import TableDef, create_or_replace
 from placeload.sources.jdbc import JdbcTarget, read_jdbc, row_count, table_exists, write_jdbc
@@ -31,11 +33,12 @@ def load_places(
     """Nested load: cell key first (resolution 3 by default), nested columns as JSON text.
 
     Reads the source once. Rows are shuffled only if ``config.shards`` is set. A destination
-    that has to be created gets the text widths of ``table``, and unbounded text without it.
+    that has to be created gets the column types of ``table``, and unbounded text without it;
+    a NULL in one of its NOT NULL columns fails the load.
     """
     source = read_table(spark, config.source, config.limit)
     rows = places_frame(source, 3 if config.resolution is None else config.resolution)
-    return _store(rows, config, mode, table)
+    return _store(rows, config, mode, table, _rows_before_limit(spark, config))
 
 
 def load_flat(
@@ -43,24 +46,32 @@ def load_flat(
     config: LoadConfig,
     keys: Sequence[str] | None = None,
     order_by: Sequence[str | Column] | None = None,
+    table: TableDef | None = None,
 ) -> LoadReport:
     """Flat load: typed columns, then the cell key (resolution 6 by default).
 
     Appends; with ``keys`` it updates the rows whose key the destination already has, and
     reports the rows written, old ones included. Over JDBC that is the whole table. A database
     that updates on an existing primary key by itself needs no ``keys``: set its flag in
-    ``config.jdbc_options`` and append.
+    ``config.jdbc_options`` and append. ``table`` is used as ``load_places`` uses it.
+
+    With ``keys`` the rows are written once into the shared folder: the touched partitions,
+    the keys and the latest rows are all taken from there.
     """
     source = read_table(spark, config.source, config.limit)
     rows = append_cell_key(source, 6 if config.resolution is None else config.resolution)
+    rows_in = _rows_before_limit(spark, config)
     if keys is None:
-        return _store(rows, config, "append")
+        return _store(rows, config, "append", table, rows_in)
+    rows, seen = _staged(rows)
+    rows_in = seen if rows_in is None else rows_in
     if not _exists(spark, config):
-        return _store(latest_by_key(rows, keys, order_by), config, "append")
+        return _store(latest_by_key(rows, keys, order_by), config, "append", table, rows_in)
+    rows = _without_nulls(rows, table)
 
     if config.jdbc_url is None:
         merged, write = merge_into(rows, config.dest_table, keys, order_by)
-        return _logged(observed_write(merged, KEY_NAME, write, source.count()), config)
+        return _logged(observed_write(merged, KEY_NAME, write, rows_in), config)
     target = jdbc_target(config)
     ranges = config.num_partitions or spark.sparkContext.defaultParallelism
     present = read_jdbc(spark, target, _range_column(rows, keys), ranges)
@@ -73,7 +84,7 @@ def load_flat(
             num_partitions=config.num_partitions,
             batch_size=config.batch_size,
         ),
-        source.count(),
+        rows_in,
     )
     _check_stored(spark, target, report)
     return _logged(report, config)
@@ -103,15 +114,34 @@ def _range_column(rows: DataFrame, keys: Sequence[str]) -> str:
     return next((k for k in keys if isinstance(types[k], ranged)), KEY_NAME)
 
 
+def _rows_before_limit(spark: SparkSession, config: LoadConfig) -> int | None:
+    """Rows of the source, from its footers; None without a limit, when the load counts them."""
+    return None if config.limit is None else spark.read.parquet(config.source).count()
+
+
+def _staged(rows: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` from the shared folder, and their number, counted by the stage that writes them."""
+    seen = Observation()
+    staged = materialize(rows.observe(seen, F.count(F.lit(1)).alias("rows")), "incoming")
+    return staged, seen.get["rows"]
+
+
+def _without_nulls(rows: DataFrame, table: TableDef | None) -> DataFrame:
+    """``rows``, failing at a NULL where the definition allows none."""
+    for name in table.not_null if table is not None else ():
+        rows = rows.where(fail_if(F.col(quoted(name)).isNull(), f"NULL in column {name}"))
+    return rows
+
+
 def _store(
-    rows: DataFrame, config: LoadConfig, mode: str, table: TableDef | None = None
+    rows: DataFrame,
+    config: LoadConfig,
+    mode: str,
+    table: TableDef | None = None,
+    rows_in: int | None = None,
 ) -> LoadReport:
     spark = rows.sparkSession
-    # Without a limit all rows of the source are written. Otherwise the parquet footers
-    # tell how many there were.
-    rows_in = None
-    if config.limit is not None:
-        rows_in = spark.read.parquet(config.source).count()
+    rows = _without_nulls(rows, table)
     # Sharded before it is observed: the last stage counts each of its tasks once.
     if config.shards is not None:
         rows = shard_by(rows, KEY_NAME, config.shards)
@@ -130,7 +160,7 @@ def _store(
                 df,
                 jdbc_target(config),
                 mode,
-                widths=None if table is None else table.widths,
+                types=None if table is None else table.types,
                 num_partitions=config.num_partitions,
                 batch_size=config.batch_size,
             )

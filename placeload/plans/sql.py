@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import logging
 import re
+import time
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+LOG = logging.getLogger(__name__)
 
 # A statement goes up to a ";" that is in no literal, quoted name or comment.
 COMMENT = r"--[^\n]*|/\*.*?\*/"
@@ -21,7 +26,21 @@ def run_sql(spark: SparkSession, text: str, args: Mapping[str, Any] | None = Non
     Values go in as ``:name``, table and schema names as ``IDENTIFIER(:name)``. They are
     bound, never pasted into the text.
     """
-    return spark.sql(text, args=dict(args) if args else None)
+    started = time.monotonic()
+    result = spark.sql(text, args=dict(args) if args else None)
+    # A query has only been planned by now; run_in_full logs its rows.
+    if not result.columns:
+        LOG.info("%.1f s for: %s", time.monotonic() - started, text.strip())
+    return result
+
+
+def run_in_full(result: DataFrame, text: str = "") -> int:
+    """Run a query to its last row and log rows and seconds; the rows go nowhere."""
+    seen, started = Observation(), time.monotonic()
+    result.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+    rows = seen.get["rows"]
+    LOG.info("%d rows in %.1f s for: %s", rows, time.monotonic() - started, text.strip())
+    return rows
 
 
 def run_script(spark: SparkSession, text: str, args: Mapping[str, Any] | None = None) -> DataFrame:
@@ -38,5 +57,5 @@ def run_script(spark: SparkSession, text: str, args: Mapping[str, Any] | None =
     for statement in statements[:-1]:
         result = run_sql(spark, statement, args)
         if result.columns:
-            result.write.format("noop").mode("overwrite").save()
+            run_in_full(result, statement)
     return run_sql(spark, statements[-1], args)

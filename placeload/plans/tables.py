@@ -38,6 +38,10 @@ class TableDef:
         found = {c.name: re.fullmatch(r"(?i)\s*varchar\s*\(\s*(\d+)\s*\)\s*", c.type) for c in self.columns}
         return {name: int(match[1]) for name, match in found.items() if match}
 
+    @property
+    def types(self) -> dict[str, str]:
+        return {c.name: c.type for c in self.columns}
+
     def column_ddl(self) -> str:
         return ", ".join(f"{quoted(c.name)} {c.type}" for c in self.columns)
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeload.functions.nested import literal, quoted
-from placeload.operators.sharding import shard_by
+from placeload.operators.sharding import balanced, shard_by
 from placeload.operators.upsert import latest_by_key, rows_not_in
 
 MODES = ("overwrite_truncate", "overwrite_create", "append")
@@ -160,10 +160,13 @@ def merge_into(
     # Else every task would write a file into every partition, or into every bucket. What is
     # read from a bucket stays in it.
     if partitions:
-        merged = kept.unionByName(latest).hint("rebalance", *_cols(partitions))
+        merged = balanced(kept.unionByName(latest), partitions)
     elif buckets:
         number = int(_described(incoming, name, "Num Buckets"))
-        merged = kept.unionByName(latest.hint("rebalance", number, *_cols(buckets)))
+        # Without adaptive execution a hint does nothing, and this puts a bucket into one task.
+        adaptive = incoming.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+        deal = balanced(latest, buckets, number) if adaptive else latest.repartition(number, *_cols(buckets))
+        merged = kept.unionByName(deal)
     else:
         merged = kept.unionByName(latest)
     return merged, lambda df: (replace_rows if touched is None else replace_partitions)(df, name)

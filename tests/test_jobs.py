@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from placeload import (
+    ColumnDef,
     LoadConfig,
+    TableDef,
     append_cell_key,
     create_or_replace,
     geo_cell,
@@ -213,6 +215,40 @@ def test_flat_load_updates(spark, flat, name, jdbc, sink, tmp_path):
     assert loaded.count() == 110 and loaded.where("dt = DATE '2024-01-01'").count() == 20
 
 
+@pytest.mark.parametrize("limit", [None, 30])
+def test_rows_in_counts_before_limit_and_duplicates(spark, flat, name, limit, tmp_path):
+    source = str(tmp_path / "twice")
+    spark.read.parquet(flat).withColumn("id", F.col("id") % 40).write.parquet(source)
+    config = LoadConfig(source, name, limit=limit)
+    for _ in range(2):
+        report = load_flat(spark, config, keys=["id"], order_by=["geocodes_mainEntry_latitude"])
+        assert report.rows_in == 100 and report.rows_out >= 30
+    if limit is None:
+        kept = spark.table(name).agg(F.count("*"), F.min("geocodes_mainEntry_latitude")).first()
+        assert report.rows_out == 40 and kept == (40, 30.0)
+    assert load_flat(spark, config).rows_in == 100
+
+
+@pytest.mark.parametrize("sink", ["table", "jdbc"])
+def test_definition_types_and_not_null(spark, flat, name, jdbc, sink):
+    columns = (ColumnDef("id", "BIGINT", False), ColumnDef("geocodes_mainEntry_latitude", "DOUBLE", False),
+               ColumnDef("geocodes_mainEntry_longitude", "DECIMAL(9,2)"), ColumnDef("dt", "DATE"), ColumnDef("cell_key", "BIGINT"))
+    config = LoadConfig(flat, name) if sink == "table" else jdbc_config(flat, jdbc)
+    load_flat(spark, config, table=TableDef(columns))
+    schema = spark.table(name).schema if sink == "table" else target_schema(spark, jdbc)
+    assert schema["geocodes_mainEntry_longitude"].dataType.simpleString() == "decimal(9,2)"
+    with pytest.raises(Exception, match="NULL in column cell_key"):
+        bad = TableDef(tuple(replace(c, nullable=c.name != "cell_key") for c in columns))
+        load_flat(spark, replace(config, source=_without_places(spark, flat)), table=bad)
+
+
+def _without_places(spark, flat):
+    path = scratch_path(spark, "nowhere")
+    nothing = F.lit(None).cast("double")
+    spark.read.parquet(flat).withColumn("geocodes_mainEntry_latitude", nothing).write.parquet(path)
+    return path
+
+
 def test_load_plan_has_one_scan_and_no_shuffle_or_python(spark, places):
     text = plan(places_frame(spark.read.parquet(places)))
     assert text.count("FileScan") == 1 and "Exchange" not in text

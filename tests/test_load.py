@@ -36,6 +36,12 @@ def test_flat(spark, settings):
     assert spark.table(settings).distinct().count() == 10
 
 
+def test_definition_of_the_created_table(spark, settings):
+    ddl = "id BIGINT NOT NULL, geocodes_mainEntry_latitude DOUBLE, geocodes_mainEntry_longitude DOUBLE, geocodes STRING"
+    load.main(["flat", "--keys", "id", "--columns", ddl.replace("geocodes STRING", "geocodes STRUCT<mainEntry: STRUCT<latitude: DOUBLE, longitude: DOUBLE>>, cell_key DECIMAL(20,0)")])
+    assert spark.table(settings).count() == 10 and dict(spark.table(settings).dtypes)["cell_key"] == "decimal(20,0)"
+
+
 def test_sql_file(spark, name, tmp_path, capsys):
     (tmp_path / "s.sql").write_text(
         "CREATE TABLE IDENTIFIER(:t) (d STRING) USING parquet;\n"
