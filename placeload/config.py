@@ -18,7 +18,8 @@ class LoadConfig:
     ``num_partitions`` caps the JDBC connections by the number of tasks that write, and so
     the load to as many tasks. ``None`` (0 in the Spark configuration) keeps every task small
     and leaves the cap to the cores the application is given. ``jdbc_options`` go to the driver
-    (``jdbc.option.<name>`` in the Spark configuration).
+    (``jdbc.option.<name>`` in the Spark configuration). ``jdbc_split`` is a whole-number
+    expression of the database by which a keyed load splits the table it reads, see ``read_jdbc``.
     """
 
     source: str
@@ -34,6 +35,7 @@ class LoadConfig:
     batch_size: int = 1000
     shards: int | None = None
     path: str | None = None
+    jdbc_split: str | None = None
 
     def __post_init__(self) -> None:
         if self.limit is not None and self.limit < 0:
@@ -80,4 +82,5 @@ class LoadConfig:
             batch_size=number("batch_size", 1000),
             shards=number("shards", None),
             path=text("path"),
+            jdbc_split=text("jdbc.split"),
         )

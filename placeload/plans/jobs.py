@@ -53,7 +53,8 @@ def load_flat(
     Appends; with ``keys`` it updates the rows whose key the destination already has, and
     reports the rows written, old ones included. Over JDBC that is the whole table. A database
     that updates on an existing primary key by itself needs no ``keys``: set its flag in
-    ``config.jdbc_options`` and append. ``table`` is used as ``load_places`` uses it.
+    ``config.jdbc_options`` and append. ``table`` is used as ``load_places`` uses it. A table whose
+    key is text is read in ranges of the cell key, unless ``config.jdbc_split`` says how to split it.
 
     With ``keys`` the rows are written once into the shared folder: the touched partitions,
     the keys and the latest rows are all taken from there.
@@ -74,7 +75,8 @@ def load_flat(
         return _logged(observed_write(merged, KEY_NAME, write, rows_in), config)
     target = jdbc_target(config)
     ranges = config.num_partitions or spark.sparkContext.defaultParallelism
-    present = read_jdbc(spark, target, _range_column(rows, keys), ranges)
+    column = None if config.jdbc_split else _range_column(rows, keys)
+    present = read_jdbc(spark, target, column, ranges, config.jdbc_split)
     report = observed_write(
         upsert(present, rows, keys, order_by),
         KEY_NAME,

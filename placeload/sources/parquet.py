@@ -82,16 +82,29 @@ def row_cap(df: DataFrame, limit: int) -> DataFrame:
 
     ``limit()`` would open every file and send all kept rows through one task. Instead, whole
     files are kept in order of their paths until the next would not fit, and the
-    first rows of that one. The counts come from the footers; files beyond are pruned before
-    they are opened. The same rows are kept on every run.
+    first rows of that one. Files are counted from their footers, in batches that grow fourfold until
+    the limit is reached; those beyond are neither counted nor opened. The same rows are
+    kept on every run.
     """
     if limit < 0:
         raise ValueError(f"limit must not be negative, got {limit}")
+    if limit == 0:
+        return df.where(F.lit(False))
     file = F.col("_metadata.file_path")
-    counts = df.select(file.alias("file")).groupBy("file").count().orderBy("file")
-    left = limit
-    for last, rows in counts.toLocalIterator():
-        if rows > left:
-            return df.where((file <= last) & ((file < last) | (F.col("_metadata.row_index") < left)))
-        left -= rows
-    return df
+    # Listed paths have an empty authority where those of the metadata have none.
+    files = sorted(f.replace(":///", ":/", 1) for f in df.inputFiles())
+    left, at, width = limit, 0, 1
+    beyond = F.lit(True)
+    while True:
+        # Ranges of paths keep the condition short however many files there are. The last one has no end.
+        end = at + width
+        batch = df.where(beyond & (file <= files[end - 1]) if end < len(files) else beyond)
+        counts = batch.select(file.alias("file")).groupBy("file").count().orderBy("file")
+        for last, rows in counts.toLocalIterator():
+            if rows >= left:
+                return df.where((file <= last) & ((file < last) | (F.col("_metadata.row_index") < left)))
+            left -= rows
+        if end >= len(files):
+            return df
+        beyond = file > files[end - 1]
+        at, width = end, width * 4

@@ -67,6 +67,18 @@ def test_cap_opens_only_the_files_it_needs(spark, tmp_path):
     assert "Exchange" not in plan(capped)
 
 
+def test_cap_counts_few_files(spark, tmp_path):
+    """Of 64 files the later ones are no parquet files, so that reading one would fail."""
+    path = tmp_path / "many"
+    spark.range(0, 640, 1, 64).write.parquet(str(path))
+    for file in sorted(path.glob("part-*"))[5:]:
+        file.with_name(f".{file.name}.crc").unlink()
+        file.write_bytes(b"not parquet")
+    capped = row_cap(spark.read.schema("id long").parquet(str(path)), 45)
+    assert sorted(r.id for r in capped.collect()) == list(range(45))
+    assert row_cap(spark.read.schema("id long").parquet(str(path)), 0).count() == 0
+
+
 @pytest.mark.parametrize("limit", [0, 1, 33, 150, 400, 1000])
 def test_sorted_limit_equals_the_top(spark, tmp_path, limit):
     """A third of the rows share one value, so ties cross tasks; files are more than one."""
