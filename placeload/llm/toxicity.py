@@ -132,7 +132,7 @@ class Restorer:
         token = token.rstrip(OUTER).lstrip(".,;:?'’)-_/")
         if len(token) > 3 and token[-3:] == token[-1] * 3 and not token[-1].isalpha():
             token = token.rstrip(token[-1])
-        if len(token) <= 64 and DISGUISED.search(token) and LETTER.search(token):
+        if DISGUISED.search(token) and LETTER.search(token):
             token = self.restore(token)
         return LETTER.findall(token)
 

@@ -356,6 +356,21 @@ def test_restoration():
     assert "idiot" in restorer.spaced("you i d i o t")
 
 
+def english_restorer():
+    c = toxicity.classes("you are an idiot and a moron or a worthless loser what a clown this is so stupid " * 50)
+    counts, c = np.zeros(toxicity.SIDE**3, np.int64), np.concatenate([[0, 0], c, [0]])
+    np.add.at(counts, (c[:-2] * toxicity.SIDE + c[1:-1]) * toxicity.SIDE + c[2:], 1)
+    return toxicity.Restorer(toxicity.log_model(counts))
+
+
+def test_restoration_of_long_tokens():
+    restorer = english_restorer()
+    assert restorer.token("idi" + "o" * 70 + "t") == ["idiot"]
+    for sign in ",./_-|'":
+        assert restorer.token(sign.join(["1d10t", "m0r0n"] * 7)) == ["idiot", "moron"] * 7, sign
+    assert restorer.token("1d10t," * 20_000) == ["idiot"] * 20_000
+
+
 def test_toxicity_without_labels(docs, nothing, spark):
     labels = spark.createDataFrame([(1, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     found = toxicity.score_toxicity(docs, labels).collect()
