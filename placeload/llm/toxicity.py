@@ -1,9 +1,11 @@
 """Toxicity by noisy-channel restoration of disguised words.
 
 A character trigram model is counted over the whole corpus. Words that a disguise could have
-made (digits or signs among letters, letters repeated three times or more, letters apart by signs or blanks)
+made (digits or signs among letters, repeated letters, letters apart by signs or blanks)
 become a lattice of what each sign may stand for; Viterbi decoding under model and channel
-picks the restored word. A sparse logistic regression on the restored words and their first letters
+picks the restored word, whatever the length. Where a disguise has several readings (a token as a whole and its
+parts between signs, letters that occur twice as two and as one, letters apart by unlike blanks), the words of
+all of them count, so that no reading hides another. A sparse logistic regression on the restored words and their first letters
 gives the score. It is fitted on a bounded sample of the labelled rows (``PER_CLASS`` of either label,
 by hash of the id); all else covers all data.
 
@@ -14,6 +16,7 @@ every score is 0.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -34,10 +37,16 @@ STANDS_FOR = {
 }
 #: Log probabilities of the channel: a sign for a letter, a sign kept, a sign or blank put between letters, a repetition.
 SWAP, KEEP, BETWEEN, REPEAT = -1.5, -4.0, -1.0, -0.7
-WORD = re.compile(r"[^\s#%&*\"\[\]<>{}=~^`]+")
-SPACED = re.compile(r"(?<!\S)(?:\S[ ]){2,}\S(?!\S)")
-DISGUISED = re.compile(r"[0-9@$!|+€(]|([^\W\d_])\1\1|[^\W\d_][._\-*][^\W\d_][._\-*]")
-OUTER = ".,;:!?'’)-_/"
+WORD = re.compile(r"\S+")
+#: Signs that part words, and those that stay inside one; both may stand between letters or between words.
+PARTING = "#%&*\"[]<>{}=~^`"
+PARTED = re.compile(rf"[^{re.escape(PARTING)}]+")
+JOINED = re.compile(r"[^.,;:/_\-|'’?]+")
+SPACED = re.compile(r"(?<!\S)(?:\S\s++){2,}\S(?!\S)")
+DISGUISED = re.compile(rf"[0-9@$!|+€(]|([^\W\d_])\1\1|[^\W\d_][._\-{re.escape(PARTING)}][^\W\d_][._\-{re.escape(PARTING)}]")
+TWICE = re.compile(r"([^\W\d_])\1")
+OUTER = ".,;:!?'’)-_/" + PARTING
+BLANKS = re.compile(r"\s+")
 LETTER = re.compile(r"[^\W\d_]+")
 
 # Characters of the model: Latin-1 letters in lower case, everything else is a gap.
@@ -87,30 +96,31 @@ class Restorer:
 
     def __init__(self, model: np.ndarray):
         self.model = model.tolist()
+        self.once: dict[str, str] = {}
 
-    def _choices(self, sign: str, run: int, inner: bool) -> list[tuple[str, float]]:
+    def _choices(self, sign: str, run: int, inner: bool, single: bool) -> list[tuple[str, float]]:
         if sign == " ":
             return [(" ", -2.0), ("", BETWEEN)]
         if sign.isalpha():
             if run < 3:
-                return [(sign * run, 0.0)]
+                return [(sign * run, 0.0), (sign, REPEAT)] if single and run == 2 else [(sign * run, 0.0)]
             return [(sign, REPEAT), (sign * 2, 2 * REPEAT), (sign * run, KEEP * (run - 2))]
         found = [(sign, KEEP * run)]
         for letter in STANDS_FOR.get(sign, ""):
             found += [(letter * n, SWAP * n) for n in {1, min(run, 2)}]
-        if inner and sign in "._-*'|+":
+        if inner and (sign in "._-'|+" or sign in PARTING):
             found.append(("", BETWEEN))
         if run >= 2 and sign in "$!|+":
             found.append(("", BETWEEN * 2))
         return found
 
-    def restore(self, word: str) -> str:
-        """The likeliest plain form of a disguised word (in lower case)."""
+    def restore(self, word: str, single: bool = False) -> str:
+        """The likeliest plain form of a disguised word (in lower case); ``single``: letters that occur twice may be one."""
         best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
         for found in re.finditer(r"(.)\1*", word, re.S):
             inner = 0 < found.start() and found.end() < len(word)
             after: dict[tuple[int, int], tuple[float, tuple]] = {}
-            for text, channel in self._choices(found[1], len(found[0]), inner):
+            for text, channel in self._choices(found[1], len(found[0]), inner, single):
                 codes = classes(text).tolist()
                 for (a, b), (score, path) in best.items():
                     score += channel
@@ -127,24 +137,61 @@ class Restorer:
             path = path[1]
         return "".join(parts[::-1])
 
+    def readings(self, word: str) -> list[str]:
+        """Plain words of a lattice, then those it has only if letters that occur twice may be one."""
+        disguised = DISGUISED.search(word)
+        found = LETTER.findall(self.restore(word) if disguised else word)
+        if TWICE.search(word):
+            found += further(found, LETTER.findall(self.restore(word, True) if disguised else TWICE.sub(self._once, word)))
+        return found
+
+    def _once(self, twice: re.Match) -> str:
+        """The likelier of one letter and two, in a lattice without other arcs: the ways meet after the next character."""
+        word, at = twice.string, twice.start()
+        near = (word[at - 1] if at else " ") + twice[1] + word[at + 2 : at + 3]
+        if near not in self.once:
+            b, s, c = classes(near).tolist() if len(near) == 3 else [*classes(near).tolist(), 0]
+            model = self.model
+            self.once[near] = twice[1] if REPEAT + model[b][s][c] > model[b][s][s] + model[s][s][c] else twice[0]
+        return self.once[near]
+
     def token(self, token: str) -> list[str]:
-        """Plain words of a token as it stands in a text."""
-        token = token.rstrip(OUTER).lstrip(".,;:?'’)-_/")
+        """Plain words of a token as it stands in a text, then those that only its parts have."""
+        token = token.rstrip(OUTER).lstrip(".,;:?'’)-_/" + PARTING)
         if len(token) > 3 and token[-3:] == token[-1] * 3 and not token[-1].isalpha():
             token = token.rstrip(token[-1])
-        if DISGUISED.search(token) and LETTER.search(token):
-            token = self.restore(token)
-        return LETTER.findall(token)
+        if not LETTER.search(token):
+            return []
+        found = self.readings(token)
+        if DISGUISED.search(token):
+            parts = PARTED.findall(token)
+            parts = parts if len(parts) > 1 else JOINED.findall(token)
+            if len(parts) > 1:
+                found += further(found, [w for p in parts if len(p) > 1 for w in self.token(p)])
+        return found
 
     def spaced(self, text: str) -> list[str]:
-        """Plain words of letters that stand apart."""
+        """Plain words of letters that stand apart, then those that only stretches apart by equal blanks have."""
         found = []
         for run in SPACED.finditer(text):
-            if len(set(run[0])) > 3:
-                found += LETTER.findall(self.restore(run[0]))
+            letters = run[0].split()
+            found += LETTER.findall(self.restore(" ".join(letters)))
+            begin, parts = 0, []
+            for _, equal in itertools.groupby(BLANKS.findall(run[0])):
+                end = begin + len(list(equal))
+                parts.append(letters[begin : end + 1])
+                begin = end
+            if len(parts) > 1:
+                found += further(found, [w for p in parts if len(p) > 2 for w in LETTER.findall(self.restore(" ".join(p)))])
         return found
 
 
+def further(found: list[str], others: list[str]) -> list[str]:
+    """Words of ``others`` that are not found yet."""
+    known = set(found)
+    return [w for w in dict.fromkeys(others) if w not in known]
+
+
 def features(word: str) -> list[str]:
     return [word, *("^" + word[:n] for n in (4, 5, 6) if len(word) > n)]
 

@@ -371,6 +371,28 @@ def test_restoration_of_long_tokens():
     assert restorer.token("1d10t," * 20_000) == ["idiot"] * 20_000
 
 
+def test_restoration_of_letters_apart_and_repeated():
+    restorer = english_restorer()
+    words = lambda text: {w for t in toxicity.WORD.findall(text) for w in restorer.token(t)}
+    for sign in "*#%&~=^<`.":
+        assert words("you " + sign.join("idiot")) == {"you", "idiot"}, sign
+    assert "clown" in words("<b>cl0wn!!</b>") and "idiot" in words("x=1d10t") and words("**idiot**") == {"idiot"}
+    for blank in (" ", "  ", "\t", "\n", "\xa0"):
+        assert "idiot" in restorer.spaced(blank.join("idiot")), blank
+    assert {"you", "idiot"} <= set(restorer.spaced("y o u\ni d i o t"))
+    ass = toxicity.SIDE**2 * 1 + toxicity.SIDE * 19 + 19  # the trigram itself, so that the model knows the word
+    counts = np.zeros(toxicity.SIDE**3, np.int64)
+    counts[[1, ass, toxicity.SIDE + 19, (19 * toxicity.SIDE + 19) * toxicity.SIDE]] = 1000
+    assert toxicity.Restorer(toxicity.log_model(counts)).spaced("a s s") == ["ass"]
+    assert restorer.token("stuupid") == ["stuupid", "stupid"] and restorer.token("looserrr") == ["looser", "loser"]
+
+
+def test_one_letter_for_two_follows_the_lattice():
+    restorer = english_restorer()
+    for word in ["stuupid", "looser", "worthlless", "ssoo", "ssttuu", "oo", "caféss", "日日本", "moronn"]:
+        assert toxicity.TWICE.sub(restorer._once, word) == restorer.restore(word, True), word
+
+
 def test_toxicity_without_labels(docs, nothing, spark):
     labels = spark.createDataFrame([(1, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     found = toxicity.score_toxicity(docs, labels).collect()
