@@ -8,8 +8,9 @@ arcs behind with their largest Gumbel value, truncated at that of the path; the
 largest value left behind. k segmentations cost k paths. The value of the best one not taken is the
 threshold that turns a log probability into the probability of being among the k.
 
-Pieces do not cross the start of a word, so the lattice is a chain of words; words are cut every
-``LONGEST`` characters. Random numbers are hashes of the row's key, the sample, the word and the step.
+Pieces do not cross the start of a word, so the lattice is a chain of words. Words are never cut, whatever
+their length; in long ones the sums are scaled anew on the way, since only their ratios count. Random
+numbers are hashes of the row's key, the sample, the word and the step.
 
 Defined results: a NULL text counts as empty, which has one segmentation, of no piece; a text with fewer
 than k segmentations gives all of them; equal rows give equal samples; a NULL id seeds as 0.
@@ -17,6 +18,8 @@ than k segmentations gives all of them; equal rows give equal samples; a NULL id
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import math
 import zlib
 from collections.abc import Iterator
@@ -30,8 +33,10 @@ from placeload.llm.common import chunks, mix, uniform
 
 #: Segmentations of each text.
 SAMPLES = 2
-#: Characters of a word after which it is cut, and of text worked on at once.
-LONGEST, CHUNK = 32, 3_000_000
+#: Characters from a word's end up to which its sums need no scaling, and of text worked on at once.
+UNSCALED, CHUNK = 32, 3_000_000
+#: Sums below the first are scaled by the second. Words longer than all but so many are summed one by one.
+SMALL, LARGE, FEW = 1e-150, 1e150, 8
 #: Log probability of a character that no piece has and that is written as bytes.
 UNKNOWN = -12.0
 #: Node values below this are only drawn if a choice could depend on them.
@@ -84,7 +89,7 @@ class Vocabulary:
             perhaps = np.zeros(1 << 20, bool)
             perhaps[hashes >> U(44)] = True
             self.known[length] = (hashes[order], np.array([n for _, n in found], np.int32)[order], perhaps)
-        self.longest = min(LONGEST, max(self.known))
+        self.longest = max(self.known)
 
     def decode(self, ids) -> str:
         """The text of a segmentation: bytes of its pieces, without the blank put before it."""
@@ -126,31 +131,29 @@ class Lattice:
         begins[(ends - sizes)[sizes > 0]] = True
         at = begins.nonzero()[0]
         length = np.diff(at, append=len(all_points))
-        if length.max() > LONGEST:
-            parts = -(-length // LONGEST)
-            offset = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-            at = np.repeat(at, parts) + offset * LONGEST
-            length = np.diff(at, append=len(all_points))
         self.doc = np.searchsorted(ends, at, side="right")
         self.first_word = np.searchsorted(self.doc, np.arange(len(texts) + 1))
         self.ordinal = (np.arange(len(at)) - self.first_word[self.doc]).astype(np.uint64)
         # Distinct words, by the hash of their characters.
         name = length.astype(np.uint64)
-        live = np.arange(len(at))
-        for k in range(int(length.max())):
+        live = (length <= UNSCALED).nonzero()[0]
+        for k in range(UNSCALED if len(live) else 0):
             if k:
                 live = live[length[live] > k]
             name[live] = rolled(name[live], all_points[at[live] + k])
+        for n in (length > UNSCALED).nonzero()[0]:
+            held = all_points[at[n] : at[n] + length[n]].tobytes()
+            name[n] = int.from_bytes(hashlib.blake2b(held, digest_size=8).digest(), "little")
         _, first, word = np.unique(name, return_index=True, return_inverse=True)
         width = length[first]
         self.start = (np.cumsum(width) - width)[word]
         total = int(width.sum())
         spots = np.repeat(at[first] - (np.cumsum(width) - width), width) + np.arange(total)
         self.points = all_points[spots]
-        self.rest = (np.repeat(np.cumsum(width), width) - np.arange(total)).astype(np.int16)
-        self._arcs(words)
+        self.rest = (np.repeat(np.cumsum(width), width) - np.arange(total)).astype(np.int32)
+        self._arcs(words, np.cumsum(width), width)
 
-    def _arcs(self, words: Vocabulary) -> None:
+    def _arcs(self, words: Vocabulary, ends: np.ndarray, width: np.ndarray) -> None:
         """Arcs in order of their place: length, piece and probability given the place."""
         total = len(self.points)
         found, hashes, live = [], np.zeros(total, np.uint64), np.arange(total, dtype=np.int32)
@@ -187,15 +190,18 @@ class Lattice:
         weight, target = np.exp(words.log)[self.piece], place + self.length
         rest = self.rest[place]
         order = np.argsort(rest, kind="stable")
-        cuts = np.searchsorted(rest[order], np.arange(1, LONGEST + 2))
+        cuts = np.searchsorted(rest[order], np.arange(1, UNSCALED + 2))
         closes = self.length == rest
         ahead = np.zeros(total + 1)
-        for d in range(LONGEST):
+        for d in range(UNSCALED):
             arcs = order[cuts[d] : cuts[d + 1]]
             if len(arcs):
                 weight[arcs] *= np.where(closes[arcs], 1.0, ahead[target[arcs]])
                 np.add.at(ahead, place[arcs], weight[arcs])
-        weight /= ahead[place]
+        near = order[: cuts[UNSCALED]]
+        weight[near] /= ahead[place[near]]
+        if len(near) < size:
+            self._long_words(weight, ahead, place, order, words.longest, ends, width)
         self.share = weight
         # The arc drawn by u at a place is where place + u falls in one increasing list.
         until = np.cumsum(weight)
@@ -205,6 +211,36 @@ class Lattice:
         self.guide = np.cumsum(ended[: total * PARTS], dtype=np.int32)
         self.last = (self.first[1:] - 1).astype(np.int32)
 
+    def _long_words(self, weight, ahead, place, order, longest: int, ends: np.ndarray, width: np.ndarray) -> None:
+        """Weights, given the place, of arcs more than UNSCALED characters before the end of their word."""
+        many = int(np.sort(width)[-FEW]) if len(width) >= FEW else 0
+        many = max(many, UNSCALED)
+        cuts = np.searchsorted(self.rest[place[order]], np.arange(UNSCALED + 1, many + 2))
+        for a, b in itertools.pairwise(cuts):
+            arcs = order[a:b]
+            weight[arcs] *= ahead[place[arcs] + self.length[arcs]]
+            np.add.at(ahead, place[arcs], weight[arcs])
+            weight[arcs] /= ahead[place[arcs]]
+            spots = np.unique(place[arcs])
+            spots = spots[ahead[spots] < SMALL]
+            ahead[spots[:, None] + np.arange(longest)] *= LARGE
+        for n in (width > many).nonzero()[0]:
+            begin, stop = ends[n] - width[n], ends[n] - many
+            first = self.first[begin : stop + 1]
+            low = first[0]
+            own, lengths = weight[low : first[-1]].tolist(), self.length[low : first[-1]].tolist()
+            first = (first - low).tolist()
+            sums = ahead[stop : stop + longest][::-1].tolist()  # the last one is that of the next place
+            for k in range(len(first) - 2, -1, -1):
+                a, b = first[k], first[k + 1]
+                given = [own[j] * sums[-lengths[j]] for j in range(a, b)]
+                total = sum(given)
+                own[a:b] = [g / total for g in given]
+                sums.append(total)
+                if total < SMALL:
+                    sums = [x * LARGE for x in sums[-longest:]]
+            weight[low : low + len(own)] = own
+
     def draw(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
         """One arc of each place: the first whose end in ``until`` lies beyond place + u."""
         spot = place + u
@@ -219,10 +255,13 @@ class Lattice:
     def walk(self, place: np.ndarray, word: np.ndarray, step: np.ndarray, seed: np.ndarray) -> dict[str, np.ndarray]:
         """Draw arcs from ``place`` to the end of each word; the nodes come in order of word and step."""
         token, first, now = np.arange(len(place)), step, place
-        seed = mix(seed + self.ordinal[word] * U(64) + step.astype(np.uint64))
+        turn = step.astype(np.uint64)
+        seed = mix(seed + self.ordinal[word] * U(64) + turn % U(64) + (turn // U(64) << U(40)))
         found, count = [], np.zeros(len(place), np.int64)
         while len(now):
-            arc = self.draw(now, uniform(mix(seed + U(len(found) << 56))))
+            if found and len(found) % 256 == 0:
+                seed = mix(seed + U(len(found)))
+            arc = self.draw(now, uniform(mix(seed + U(len(found) % 256 << 56))))
             found.append((token, now, arc))
             count[token] += 1
             ahead = self.length[arc]

@@ -299,6 +299,49 @@ def test_all_segmentations_of_a_short_text():
     assert {tuple(x[0].tolist()) for x in found} == set(law) and all(x[3] == 1.0 for x in found)
 
 
+def _sums(points, words):
+    """Log of the sum over all ways from each place of one word to its end, by brute force over its pieces."""
+    known = {b.decode().replace(" ", "▁"): words.log[n] for n, b in words.pieces.items() if words.log[n] > -np.inf}
+    sums = [0.0] * (len(points) + 1)
+    for p in range(len(points) - 1, -1, -1):
+        ways = [known[points[p : p + n]] + sums[p + n] for n in range(1, min(words.longest, len(points) - p) + 1) if points[p : p + n] in known]
+        sums[p] = np.logaddexp.reduce(ways if points[p] in known else [*ways, piece_sampling.UNKNOWN + sums[p + 1]])
+    return sums, known
+
+
+@pytest.mark.parametrize("copies", [1, 20])
+def test_long_words_are_not_cut(copies):
+    words = piece_sampling.vocabulary(vocabulary("piece_bpe_32k.model"))
+    longer = ["internationalization" * n for n in (2, 40, 400)] + ["日本語の文章には空白がない" * 9, "☃𓀀" * 300, "x" * 33]
+    texts = [t + "q" * k for k in range(copies) for t in longer]
+    for text, found in zip(texts, piece_sampling.sample_pieces(texts, list(range(len(texts))), words, 2), strict=True):
+        sums, known = _sums("▁" + text, words)
+        for ids, log, _, inclusion in found:
+            assert words.decode(ids) == text and 0 < inclusion <= 1
+            raw = sum(n < words.first_byte + 256 and n >= words.first_byte for n in ids.tolist())
+            if not raw:
+                assert abs(log - (words.log[ids].sum() - sums[0])) < 1e-6 * len(text)
+    lattice = piece_sampling.Lattice(texts, words)
+    for text, start in zip(texts, lattice.start, strict=True):
+        sums, known = _sums("▁" + text, words)
+        for p in range(len(text) + 1):
+            for arc in range(lattice.first[start + p], lattice.first[start + p + 1]):
+                n = int(lattice.length[arc])
+                share = known.get(("▁" + text)[p : p + n], piece_sampling.UNKNOWN) + sums[p + n] - sums[p]
+                assert abs(lattice.share[arc] - math.exp(share)) < 1e-9
+    crossing = {int(lattice.length[a]) for a in range(lattice.first[lattice.start[0] + 30], lattice.first[lattice.start[0] + 31])}
+    assert max(crossing) > 2  # pieces over the 32nd character
+
+
+def test_draws_of_long_words_differ():
+    words = piece_sampling.vocabulary(vocabulary("piece_bpe_32k.model"))
+    lattice = piece_sampling.Lattice(["-" * 20_000], words)
+    seed, none = np.array([5], np.uint64), np.zeros(1, np.int64)
+    drawn = lattice.walk(lattice.start, none, none, seed)
+    arcs = [lattice.length[drawn["arc"][a : a + 100]].tolist() for a in (0, 256, 512)]
+    assert len(drawn["arc"]) > 700 and arcs[0] != arcs[1] != arcs[2] != arcs[0]
+
+
 def test_sampling_query(docs, nothing):
     path = vocabulary("piece_bpe_32k.model")
     found = piece_sampling.sampled_segmentations(docs, path).collect()
