@@ -109,6 +109,28 @@ def test_suffix_dedup(docs, batch, hot):
     assert sortable(suffix_dedup.suffix_dedup(docs, batch, hot).collect()) == sortable(wanted)
 
 
+@pytest.mark.parametrize("again", [None, 7])
+def test_suffix_dedup_of_equal_ids_in_other_batches(spark, again):
+    """Rows of one rank with the same text, of which a smaller id has a passage between other words."""
+    passage, own = prose(11, 40), prose(12, 60)
+    texts = [(1, prose(13, 50) + passage + prose(14, 50))] + [(again, own + passage + prose(15, 60))] * 3
+    texts.append((5, prose(16, 90)))
+    known = {texts[0][1].encode()[p : p + 50] for p in range(len(texts[0][1]) - 49)} | {texts[-1][1].encode()[p : p + 50] for p in range(len(texts[-1][1]) - 49)}
+    wanted = []
+    for n, (i, t) in enumerate(texts):
+        b, gone = t.encode(), np.zeros(len(t), bool)
+        for p in range(len(b) - 49):
+            if 0 < n < 4 and b[p : p + 50] in known:
+                gone[p : p + 50] = True
+        wanted.append((i, int(gone.sum())))
+    assert wanted[1][1] > 100
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    found = suffix_dedup.suffix_dedup(docs, 700)
+    assert sortable(found.select("doc_id", "n_removed").collect()) == sortable(wanted)
+    hashes = {r["kept_sha256"] for r in found.collect() if r["doc_id"] == again}
+    assert len(hashes) == 1
+
+
 def test_suffix_dedup_stage(docs, nothing):
     assert suffix_dedup.suffix_dedup(nothing).collect() == []
     left = suffix_dedup.cut_repeats(docs)
