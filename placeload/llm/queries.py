@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from placeload.llm.common import table
 from placeload.llm.exact_dedup import exact_dedup
+from placeload.llm.hard_negatives import hard_negatives
 from placeload.llm.language_id import identify
+from placeload.llm.lexical_search import lexical_search
 from placeload.llm.line_quality import line_quality
 from placeload.llm.near_dedup import near_dedup
 from placeload.llm.packing import pack, token_pieces
 from placeload.llm.piece_sampling import sampled_segmentations
 from placeload.llm.sharding import shard_rows
+from placeload.llm.simhash import simhash_dedup
 from placeload.llm.suffix_dedup import suffix_dedup
 from placeload.llm.toxicity import score_toxicity
 from placeload.llm.url_filter import filter_urls
@@ -76,5 +79,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
 
 
+def op11_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def registered() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
