@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeload.storage import materialize
-
-# Names for a row's file and its place in it, beside columns of any name.
-FILE, INDEX = "_placeload_file", "_placeload_index"
+from placeload.operators.selection import first_rows
 
 
 def read_table(
@@ -27,7 +24,7 @@ def read_table(
     partition column prunes to the same files.
 
     ``limit`` keeps that many rows, or all if there are fewer. With ``order_by`` they are
-    the first in that order, not sorted; see ``first_rows``. Otherwise any rows may be kept.
+    the first in that order, in the table's order; see ``first_rows``. Otherwise any rows may be kept.
     """
     if order_by is not None and limit is None:
         raise ValueError("order_by only chooses the rows of a limit")
@@ -42,41 +39,6 @@ def read_table(
     return first_rows(df, limit, [order_by] if isinstance(order_by, (str, Column)) else list(order_by))
 
 
-def first_rows(df: DataFrame, limit: int, order: Sequence[str | Column]) -> DataFrame:
-    """The first ``limit`` rows in the given order, of a DataFrame that reads files.
-
-    Rows that are equal in the order are told apart by file and place in it, so the same rows are
-    kept whatever the limit. Only the order's columns and the places are dealt by range and sorted,
-    so no task gets more than its range, and a value that many rows share is split. Counts per range
-    say where the limit falls; the places up to there choose the rows.
-    """
-    if limit < 0:
-        raise ValueError(f"limit must not be negative, got {limit}")
-    spark = df.sparkSession
-    place = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(INDEX)]
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (
-        df.select("*", *place)
-        .repartitionByRange(ranges, *order, FILE, INDEX)
-        .sortWithinPartitions(*order, FILE, INDEX)
-        .select(FILE, INDEX, F.monotonically_increasing_id().alias("rank"))
-    )
-    places = materialize(ordered, "ordered")
-    number = F.shiftright("rank", 33)
-    left, kept = limit, F.lit(True)
-    for part, rows in places.groupBy(number.alias("part")).count().orderBy("part").toLocalIterator():
-        if rows >= left:
-            kept = F.col("rank") < (part << 33) + left
-            break
-        left -= rows
-    chosen = places.where(kept).select(FILE, INDEX).alias("chosen")
-    at = [
-        F.col("_metadata.file_path") == F.col(f"chosen.{FILE}"),
-        F.col("_metadata.row_index") == F.col(f"chosen.{INDEX}"),
-    ]
-    return df.join(chosen, at, "left_semi")
-
-
 def row_cap(df: DataFrame, limit: int) -> DataFrame:
     """Exactly ``limit`` rows, or all if there are fewer, of a DataFrame that reads files.
 
