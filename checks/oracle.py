@@ -190,6 +190,7 @@ def oracles() -> dict[str, str]:
         "q_jdbc_truncate": "SELECT * FROM orders",
         "q_jdbc_append": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
         "q_jdbc_upsert": UPSERTED,
+        "q_jdbc_publish": "SELECT * REPLACE (o_totalprice * 2 AS o_totalprice) FROM orders",
         "q_jdbc_types": f"""
             WITH widths AS (
                 SELECT column_name AS name, {WIDTH} AS width

@@ -97,7 +97,7 @@ def q_limit_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_row_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An unordered cap may keep any rows, so their number is what can be compared."""
     path = pl.scratch_path(spark, "capped")
-    table(spark, sf_dir, "lineitem").repartition(SHARDS).write.parquet(path)
+    table(spark, sf_dir, "lineitem").repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
     kept = pl.read_table(spark, path, limit=5000)
     return kept.agg(F.count(F.lit(1)).alias("rows"))
 
@@ -278,7 +278,7 @@ def q_load_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source": _places_source(spark, sf_dir),
         "dest_table": name,
         "path": pl.scratch_path(spark, name),
-        "shards": str(SHARDS),
+        "shards": spark.conf.get("spark.sql.shuffle.partitions"),
     }
     for key, value in settings.items():
         spark.conf.set(prefix + key, value)
@@ -376,6 +376,18 @@ def q_jdbc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pl.read_jdbc(spark, target, "o_orderkey")
 
 
+def q_jdbc_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table published, replaced as a whole in one transaction, then exchanged for a new one."""
+    target = jdbc_target(spark, "orders")
+    orders, types = table(spark, sf_dir, "orders"), {"o_orderpriority": "VARCHAR(16)", "o_orderstatus": "VARCHAR(1)"}
+    pl.publish(orders.where("o_orderkey < 10"), target, False, types=types)
+    pl.publish(orders.where("o_orderkey >= 10"), target, True)
+    pl.apply_changes(orders.where("o_orderkey < 20"), target, ["o_orderkey"], how="replace")
+    kept = pl.materialize(pl.read_jdbc(spark, target, "o_orderkey"), "published")
+    pl.swap(kept.withColumn("o_totalprice", F.col("o_totalprice") * 2), target, types=types)
+    return pl.read_jdbc(spark, target, "o_orderkey")
+
+
 def q_jdbc_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column types of a table created with widths from a profile of its rows."""
     target = jdbc_target(spark, "part")

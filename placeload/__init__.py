@@ -21,15 +21,16 @@ from placeload.sources.jdbc import (
     read_jdbc,
     table_exists,
     target_schema,
-    upsert_jdbc,
     write_jdbc,
 )
 from placeload.sources.parquet import read_table, row_cap
+from placeload.sources.staging import Changes, apply_changes, publish, swap, upsert_jdbc
 from placeload.sources.tables import replace_rows, upsert_table, write_sharded, write_table
 from placeload.storage import materialize, scratch_path
 
 __all__ = [
     "CATEGORIES",
+    "Changes",
     "ColumnDef",
     "JdbcTarget",
     "LoadConfig",
@@ -37,6 +38,7 @@ __all__ = [
     "PLACES",
     "TableDef",
     "append_cell_key",
+    "apply_changes",
     "check_constraints",
     "column_types",
     "constraint_violations",
@@ -47,6 +49,7 @@ __all__ = [
     "load_places",
     "materialize",
     "places_frame",
+    "publish",
     "read_jdbc",
     "read_table",
     "replace_rows",
@@ -58,6 +61,7 @@ __all__ = [
     "shard_by",
     "shard_report",
     "stringify_nested",
+    "swap",
     "table_exists",
     "target_schema",
     "upsert",

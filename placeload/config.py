@@ -19,7 +19,9 @@ class LoadConfig:
     the load to as many tasks. ``None`` (0 in the Spark configuration) keeps every task small
     and leaves the cap to the cores the application is given. ``jdbc_options`` go to the driver
     (``jdbc.option.<name>`` in the Spark configuration). ``jdbc_split`` is a whole-number
-    expression of the database by which a keyed load splits the table it reads, see ``read_jdbc``.
+    expression of the database by which a reload splits the table it reads, see ``read_jdbc``.
+    ``jdbc_apply`` says how keyed rows reach the table (``merge``, ``replace`` or ``reload``), and with
+    ``jdbc_staged`` a load that replaces a table shows when it is complete.
     """
 
     source: str
@@ -36,8 +38,12 @@ class LoadConfig:
     shards: int | None = None
     path: str | None = None
     jdbc_split: str | None = None
+    jdbc_apply: str = "merge"
+    jdbc_staged: bool = True
 
     def __post_init__(self) -> None:
+        if self.jdbc_apply not in ("merge", "replace", "reload"):
+            raise ValueError(f"jdbc_apply must be merge, replace or reload, got {self.jdbc_apply!r}")
         if self.limit is not None and self.limit < 0:
             raise ValueError(f"limit must not be negative, got {self.limit}")
         for name in ("num_partitions", "batch_size", "shards"):
@@ -83,4 +89,6 @@ class LoadConfig:
             shards=number("shards", None),
             path=text("path"),
             jdbc_split=text("jdbc.split"),
+            jdbc_apply=text("jdbc.apply") or "merge",
+            jdbc_staged=(text("jdbc.staged") or "true").lower() == "true",
         )

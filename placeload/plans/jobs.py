@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from placeload.plans.places import KEY_NAME, append_cell_key, places_frame
 from placeload.plans.tables import TableDef, create_or_replace
 from placeload.sources.jdbc import JdbcTarget, read_jdbc, row_count, table_exists, write_jdbc
 from placeload.sources.parquet import read_table
+from placeload.sources.staging import apply_latest, publish, swap
 from placeload.sources.tables import merge_into, write_table
 from placeload.storage import materialize
 
@@ -51,10 +53,12 @@ def load_flat(
     """Flat load: typed columns, then the cell key (resolution 6 by default).
 
     Appends; with ``keys`` it updates the rows whose key the destination already has, and
-    reports the rows written, old ones included. Over JDBC that is the whole table. A database
-    that updates on an existing primary key by itself needs no ``keys``: set its flag in
-    ``config.jdbc_options`` and append. ``table`` is used as ``load_places`` uses it. A table whose
-    key is text is read in ranges of the cell key, unless ``config.jdbc_split`` says how to split it.
+    reports as ``rows_out`` what a catalog table had to have written or a database table holds
+    then. Over JDBC only the changed rows travel, see ``apply_changes``; ``config.jdbc_apply`` says how they
+    are applied. ``"reload"`` writes the whole table; one with a text key is then read in ranges of the
+    cell key, unless ``config.jdbc_split`` says how to split it. A database that updates on an existing
+    primary key by itself needs no ``keys``: set its flag in ``config.jdbc_options`` and append.
+    ``table`` is used as ``load_places`` uses it.
 
     With ``keys`` the rows are written once into the shared folder: the touched partitions,
     the keys and the latest rows are all taken from there.
@@ -74,21 +78,22 @@ def load_flat(
         merged, write = merge_into(rows, config.dest_table, keys, order_by)
         return _logged(observed_write(merged, KEY_NAME, write, rows_in), config)
     target = jdbc_target(config)
+    settings = {"num_partitions": config.num_partitions, "batch_size": config.batch_size}
+    if config.jdbc_apply != "reload":
+        latest = latest_by_key(rows, keys, order_by)
+        report = observed_write(
+            latest, KEY_NAME, lambda df: apply_latest(df, target, keys, config.jdbc_apply, **settings), rows_in
+        )
+        return _logged(replace(report, rows_out=row_count(spark, target)), config)
     ranges = config.num_partitions or spark.sparkContext.defaultParallelism
     column = None if config.jdbc_split else _range_column(rows, keys)
     present = read_jdbc(spark, target, column, ranges, config.jdbc_split)
     report = observed_write(
         upsert(present, rows, keys, order_by),
         KEY_NAME,
-        lambda df: write_jdbc(
-            materialize(df, "upsert"),
-            target,
-            num_partitions=config.num_partitions,
-            batch_size=config.batch_size,
-        ),
+        lambda df: publish(materialize(df, "upsert"), target, True, write=write_jdbc, **settings),
         rows_in,
     )
-    _check_stored(spark, target, report)
     return _logged(report, config)
 
 
@@ -158,21 +163,30 @@ def _store(
             else:
                 write_table(df, config.dest_table, mode, config.path, sort_by)
         else:
-            write_jdbc(
-                df,
-                jdbc_target(config),
-                mode,
-                types=None if table is None else table.types,
-                num_partitions=config.num_partitions,
-                batch_size=config.batch_size,
-            )
+            _write_jdbc(df, config, mode, None if table is None else table.types)
 
     report = observed_write(rows, KEY_NAME, write, rows_in)
-    if config.jdbc_url is not None and mode != "append":
+    if config.jdbc_url is not None and mode != "append" and not config.jdbc_staged:
         _check_stored(spark, jdbc_target(config), report)
     return _logged(report, config)
 
 
+def _write_jdbc(df: DataFrame, config: LoadConfig, mode: str, types: Mapping[str, str] | None) -> None:
+    """Through a staging table, so that a load which fails, or writes rows twice, never shows.
+
+    Appending goes straight to the table, where the driver's own flags for present keys work.
+    """
+    target, settings = jdbc_target(config), {"num_partitions": config.num_partitions, "batch_size": config.batch_size}
+    if mode == "append" or not config.jdbc_staged:
+        write_jdbc(df, target, mode, types=types, **settings)
+        return
+    exists = table_exists(df.sparkSession, target)
+    if exists and mode == "overwrite_create":
+        swap(df, target, types=types, write=write_jdbc, **settings)
+    else:
+        publish(df, target, exists, types=types, write=write_jdbc, **settings)
+
+
 def _logged(report: LoadReport, config: LoadConfig) -> LoadReport:
     LOG.info("%s into %s: %s", config.source, config.dest_table, report)
     return report
