@@ -10,7 +10,7 @@ its rank among the pieces of its length.
 Size of what is sent to every task: each step either uses up a length (at most ``length`` steps add a
 pattern) or a pattern, so there are at most 2 * ``length`` patterns, whatever the input.
 
-Defined results: NULL and empty texts are the closing id alone; equal rows are packed each;
+Defined results: a written-out special token is that token, as ``tokenizers`` reads it; NULL and empty texts are the closing id alone; equal rows are packed each;
 an empty table gives no piece.
 """
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -40,7 +41,10 @@ def byte_letters() -> dict[str, int]:
 
 
 class Encoder:
-    """Ids of a byte-level BPE file of ``tokenizers``, made by its own merge ranks."""
+    """Ids of a byte-level BPE file of ``tokenizers``, made by its own merge ranks.
+
+    As ``tokenizers`` does, added tokens such as the end of a text are split out of it first, wherever they stand.
+    """
 
     def __init__(self, path: str):
         import public_tokenizers
@@ -50,14 +54,29 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         letters = byte_letters()
-        special = {x["content"] for x in described.get("added_tokens", []) if x["special"]}
+        given = described.get("added_tokens", [])
+        self.added = {x["content"]: x["id"] for x in given}
+        #: Whether added tokens are taken just as they are written.
+        self.literal = not any(x[flag] for x in given for flag in ("single_word", "lstrip", "rstrip", "normalized"))
+        longest = sorted(map(re.escape, self.added), key=len, reverse=True)
+        self.apart = re.compile(f"({'|'.join(longest)})") if longest else None
         vocabulary = described["model"]["vocab"].items()
-        ranks = {bytes(letters[c] for c in piece): n for piece, n in vocabulary if piece not in special}
+        ranks = {bytes(letters[c] for c in piece): n for piece, n in vocabulary if piece not in self.added}
         self.fast = tiktoken.Encoding("piece", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
 
     def ids(self, text: str) -> list[int]:
+        if self.apart is None or not self.apart.search(text):
+            return self._between(text)
+        if not self.literal:
+            return self.plain.encode(text, add_special_tokens=False).ids
+        found = []
+        for n, part in enumerate(self.apart.split(text)):
+            found += [self.added[part]] if n % 2 else self._between(part)
+        return found
+
+    def _between(self, text: str) -> list[int]:
+        """The ids of a text without added tokens."""
         try:
             return self.fast.encode_ordinary(text)
         except BaseException as problem:  # its regular expressions give up on very long runs

@@ -234,7 +234,6 @@ def test_packing(docs, nothing):
 
     path = vocabulary("byte_bpe_50k.json")
     reference = Tokenizer.from_file(path)
-    reference.encode_special_tokens = True
     pieces = packing.token_pieces(docs, path, length=64, with_ids=True)
     found = packing.pack(pieces, 64).collect()
     whole = Counter((i, *reference.encode(t or "", add_special_tokens=False).ids, 1) for i, t in HARD)
@@ -256,10 +255,27 @@ def test_packing(docs, nothing):
     assert packing.pack(packing.token_pieces(nothing, path)).collect() == []
 
 
-def test_encoder_takes_any_text():
-    encode = packing.encoder(vocabulary("byte_bpe_50k.json"))
-    for text in ("", " " * 50_000, "a" * 20_000, "<|endoftext|>", "é☃\x00\n", "\t \n" * 5000):
-        assert encode.ids(text) == encode.plain.encode(text, add_special_tokens=False).ids
+END = "<|endoftext|>"
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["", " " * 50_000, "a" * 20_000, "é☃\x00\n", "\t \n" * 5000, END, END + END, f"{END} at the start", f"at the end {END}", f"a {END} b",
+     f"in{END}side", f" {END} \n{END}\t", f"{END}{END} twice {END}", f"<{END}>", "<|endoftext", "|endoftext|>", "<|endof text|>", "<|ENDOFTEXT|>",
+     (prose(3, 50) + END) * 40, END.join(["é☃", " \n ", "", "x" * 3000])],
+)
+def test_encoder_is_the_tokenizer_itself(text):
+    """Against a tokenizer as its file gives it, nothing set on it."""
+    from tokenizers import Tokenizer
+
+    path = vocabulary("byte_bpe_50k.json")
+    assert packing.encoder(path).ids(text) == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_of_texts_with_special_tokens(spark):
+    docs = spark.createDataFrame([(1, f"a {END} b"), (2, END)], "doc_id long, text string")
+    pieces = packing.token_pieces(docs, vocabulary("byte_bpe_50k.json"), with_ids=True).collect()
+    assert {r["doc_id"]: r["ids"] for r in pieces} == {1: [64, 220, 50256, 275, 1], 2: [50256, 1]}
 
 
 def test_patterns_use_every_length():
