@@ -78,17 +78,20 @@ class Vocabulary:
         top = weights.max()
         self.log = weights - (top + math.log(np.exp(weights - top).sum()))
         self.log = np.append(self.log, UNKNOWN)  # the last entry stands for bytes
-        self.known: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.known: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, int]] = {}
         for length, found in by_length.items():
             hashes = np.zeros(len(found), np.uint64)
             points = np.array([p for p, _ in found])
             for k in range(length):
                 hashes = rolled(hashes, points[:, k])
             order = np.argsort(hashes)
-            # A table of 20 bits of the hash rules out most places before the search.
-            perhaps = np.zeros(1 << 20, bool)
-            perhaps[hashes >> U(44)] = True
-            self.known[length] = (hashes[order], np.array([n for _, n in found], np.int32)[order], perhaps)
+            # Where the hashes that begin with the same 18 bits start, and how many there are of them at most.
+            begin = (hashes[order] >> U(46)).astype(np.int64)
+            slot = np.full(1 << 18, -1, np.int16 if len(begin) < 1 << 15 else np.int32)
+            slot[begin[::-1]] = np.arange(len(begin), dtype=slot.dtype)[::-1]
+            most = int(np.bincount(begin).max())
+            padded = np.append(hashes[order], np.zeros(most, np.uint64))
+            self.known[length] = (padded, np.array([n for _, n in found], np.int32)[order], slot, most)
         self.longest = max(self.known)
 
     def decode(self, ids) -> str:
@@ -165,10 +168,15 @@ class Lattice:
             hashes = rolled(hashes, self.points[live + k])
             if k + 1 not in words.known:
                 continue
-            keys, ids, perhaps = words.known[k + 1]
-            some = perhaps[hashes >> U(44)].nonzero()[0]
-            spot = np.minimum(np.searchsorted(keys, hashes[some]), len(keys) - 1)
-            hit = keys[spot] == hashes[some]
+            keys, ids, slot, most = words.known[k + 1]
+            begin = slot[hashes >> U(46)]
+            some = (begin >= 0).nonzero()[0]
+            spot, wanted = begin[some].astype(np.int32), hashes[some]
+            hit = keys[spot] == wanted
+            for _ in range(1, most):
+                spot += ~hit
+                hit = keys[spot] == wanted
+            hit &= spot < len(ids)
             place, piece = live[some[hit]], ids[spot[hit]]
             if k == 0:
                 known = np.zeros(total, bool)
@@ -187,19 +195,23 @@ class Lattice:
             self.length[slot], self.piece[slot] = k, piece
             fill[place] = slot + 1
         place = np.repeat(np.arange(total, dtype=np.int32), count)
-        weight, target = np.exp(words.log)[self.piece], place + self.length
+        weight = np.exp(words.log)[self.piece]
         rest = self.rest[place]
-        order = np.argsort(rest, kind="stable")
+        # Small numbers are sorted by their digits.
+        order = np.argsort(rest.astype(np.int16) if rest.max(initial=0) < 1 << 15 else rest, kind="stable")
         cuts = np.searchsorted(rest[order], np.arange(1, UNSCALED + 2))
-        closes = self.length == rest
+        near = order[: cuts[UNSCALED]]
+        # From here in order of the rest, so that each step works on a slice. Arcs to the end lead to a sum of 1.
+        start, sums = place[near], weight[near]
+        target = np.where(self.length[near] == rest[near], total, start + self.length[near])
         ahead = np.zeros(total + 1)
+        ahead[total] = 1.0
         for d in range(UNSCALED):
-            arcs = order[cuts[d] : cuts[d + 1]]
-            if len(arcs):
-                weight[arcs] *= np.where(closes[arcs], 1.0, ahead[target[arcs]])
-                np.add.at(ahead, place[arcs], weight[arcs])
-        near = order[: cuts[UNSCALED]]
-        weight[near] /= ahead[place[near]]
+            arcs = slice(cuts[d], cuts[d + 1])
+            sums[arcs] *= ahead[target[arcs]]
+            np.add.at(ahead, start[arcs], sums[arcs])
+        ahead[total] = 0.0
+        weight[near] = sums / ahead[start]
         if len(near) < size:
             self._long_words(weight, ahead, place, order, words.longest, ends, width)
         self.share = weight
