@@ -30,13 +30,18 @@ def located(docs: DataFrame, *columns: str | Column) -> DataFrame:
     Rows that do not come straight from files are written to the shared folder first, since
     only then do they have a place that a lost executor cannot change.
     """
-    placed = with_place(docs, *columns)
-    return placed if placed is not None else with_place(materialize(docs.select(*columns), "located"), "*")
+    rows = with_place(docs, *columns)
+    return rows if rows is not None else with_place(materialize(docs.select(*columns), "located"), "*")
 
 
 def with_place(docs: DataFrame, *columns: str | Column) -> DataFrame | None:
+    """``columns`` with the row's place, or None for rows that do not come straight from files.
+
+    The place is asked of the rows themselves, so a column of their own that is called ``_metadata`` does no harm.
+    """
     try:
-        return docs.select(*columns, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("pos"))
+        place = docs.metadataColumn("_metadata")
+        return docs.select(*columns, place["file_path"].alias("file"), place["row_index"].alias("pos"))
     except AnalysisException:
         return None
 
@@ -49,7 +54,8 @@ def placed(docs: DataFrame) -> DataFrame:
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` (see ``placed``) with all its columns, less the rows at the places (file, pos) of ``gone``."""
     gone = gone.select("file", "pos").alias("gone")
-    at = [F.col("_metadata.file_path") == F.col("gone.file"), F.col("_metadata.row_index") == F.col("gone.pos")]
+    place = docs.metadataColumn("_metadata")
+    at = [place["file_path"] == F.col("gone.file"), place["row_index"] == F.col("gone.pos")]
     return docs.join(gone, at, "left_anti")
 
 

@@ -9,12 +9,13 @@ that fill all registers are never drawn; if a register stays empty, the horizon
 
 Documents of equal words are one node. Nodes that agree in a band meet in a bucket. Each is verified
 against the bucket's smallest node; components of the verified links come next. Buckets that still hold
-more than one component are searched for further links, in blocks of bounded size and all pairs of blocks, each
-task comparing only what is not connected yet and returning one link per connection. No link is lost
-to the blocks, no pairs are listed, and no bucket has to fit into one task.
+more than one component are searched for further links: what is outside a bucket's largest component meets the whole
+bucket, in blocks of bounded number and bytes, each task comparing only what is not connected yet and returning one link
+per connection. No link is lost to the blocks, no pairs are listed, and no bucket has to fit into one task.
 
 Defined results: a text without words is a class of its own; fewer than five words are one shingle; a NULL
-id never becomes a class id unless all ids of the class are NULL; equal rows share a class.
+id never becomes a class id unless all ids of the class are NULL; equal rows share a class; of equal ids the first in file
+and place counts. A text is held as a whole by its task, with about fifty bytes of working memory for each of its own.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +38,10 @@ WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 25, 5
 #: Nodes of a bucket compared in one task are at most about twice this.
 BLOCK = 512
-#: Bytes of text whose shingles are made at once.
-CHUNK = 1 << 20
+#: Bytes of text of such a task are at most about twice this, or those of its two longest texts.
+BLOCK_BYTES = 4 << 20
+#: Bytes of text whose shingles are made at once, and what a text counts for besides, however short.
+CHUNK, SMALL = 1 << 20, 64
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -157,22 +161,25 @@ def overlap(a: Counter, b: Counter) -> float:
 def banded(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per row: doc_id, file, pos, node (digest of its words, NULL without any) and its bands."""
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given = zip(batch["doc_id"].array, batch["file"].array, batch["pos"].array, batch["text"].array, strict=True)
-            for held in chunks(((i, f, p, body_of(t)) for i, f, p, t in given), lambda r: len(r[3]), CHUNK):
-                bags = shingle_hashes([r[3] for r in held])
+            # A buffer of the batch is read piece by piece; only the texts of a chunk are Python's.
+            bodies = ((n, body.as_py() or b"") for n, body in enumerate(batch.column("body")))
+            for held in chunks(bodies, lambda r: len(r[1]) + SMALL, CHUNK):
+                bags = shingle_hashes([body for _, body in held])
                 found = band_hashes(signatures(bags, bands * rows), bands, rows)
-                out = []
-                for (doc_id, file, pos, body), (hashes, _), bands_ in zip(held, bags, found, strict=True):
-                    node = hashlib.blake2b(b" ".join(body.split()), digest_size=16).hexdigest() if len(hashes) else None
-                    out.append((doc_id, file, pos, node, bands_ if node else None))
-                made = pd.DataFrame(out, columns=["doc_id", "file", "pos", "node", "bands"])
-                made["doc_id"] = made["doc_id"].astype("Int64")
-                yield made
-
-    return located(docs, F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        sign, "doc_id long, file string, pos long, node string, bands array<long>"
+                some = np.array([len(hashes) > 0 for hashes, _ in bags])
+                digests = [hashlib.blake2b(b" ".join(body.split()), digest_size=16).digest() for _, body in held]
+                nodes = pa.array([d if s else None for d, s in zip(digests, some, strict=True)], pa.binary())
+                offsets = pa.array(np.arange(len(held) + 1, dtype=np.int32) * bands)
+                lists = pa.ListArray.from_arrays(offsets, pa.array(found.ravel(), pa.int64()))
+                part = batch.slice(held[0][0], len(held))
+                columns = [part.column("doc_id"), part.column("file"), part.column("pos"), nodes, lists]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "file", "pos", "node", "bands"])
+
+    body = F.col("text").cast("string").cast("binary").alias("body")
+    return located(docs, F.col("doc_id").cast("long").alias("doc_id"), body).mapInArrow(
+        sign, "doc_id long, file string, pos long, node binary, bands array<long>"
     )
 
 
@@ -216,51 +223,73 @@ def verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
 
     first = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b").mapInPandas(check, "a string, b string")
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b").mapInPandas(check, "a binary, b binary")
 
 
-def further_links(members: DataFrame, roots: DataFrame, texts: DataFrame, similar: float, block: int) -> DataFrame:
-    """Links between different components of a bucket, at least one for each two that have any.
+def dealt_out(members: DataFrame, roots: DataFrame, sizes: DataFrame, block: int, block_bytes: int) -> DataFrame:
+    """Per task (bucket, low, high) its members: node, root and side.
 
-    ``members``: bucket, node. A bucket of two was compared as a whole already; of buckets with the same
-    nodes one is searched.
+    Members of the bucket's largest component need not meet each other. They are cut into sides, as are all others, and
+    each side of the others meets itself, the other sides, and each side of the largest component; so one
+    stray beside a component of any size takes that component to tasks just once. A bucket of two was compared as
+    a whole already; of buckets with the same nodes one is searched.
     """
     rooted = members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    rooted = rooted.join(sizes, "node")
     number = F.xxhash64("node").cast("decimal(38,0)")
-    mixed = (
-        rooted.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.sum(number).alias("all"))
-        .filter("n > 2 AND low <> high")
-        .groupBy("all", "n")
-        .agg(F.min("bucket").alias("bucket"))
+    by_root = rooted.groupBy("bucket", "root").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), F.sum(number).alias("all")
     )
-    sides = F.ceil(F.col("n") / block).cast("int")
-    placed = rooted.join(mixed.select("bucket", sides.alias("sides")), "bucket").withColumn(
-        "side", F.pmod(F.xxhash64("node", F.lit(1)), F.col("sides")).cast("int")
+    total = by_root.groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.sum("all").alias("all"), F.count(F.lit(1)).alias("roots"),
+        F.max(F.struct("n", "bytes", "root")).alias("most"),
+    )
+    mixed = total.filter("n > 2 AND roots > 1").groupBy("all", "n").agg(F.min(F.struct("bucket", "bytes", "most")).alias("one"))
+
+    def sides(n, size):
+        return F.greatest(F.ceil(n / block), F.ceil(size / block_bytes), F.lit(1)).cast("int")
+
+    most = F.col("one.most")
+    mixed = mixed.select(
+        "one.bucket",
+        most["root"].alias("most"),
+        sides(most["n"], most["bytes"]).alias("large"),
+        sides(F.col("n") - most["n"], F.col("one.bytes") - most["bytes"]).alias("small"),
     )
-    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))).select(
+    # Written, so that Spark can split the nodes of a bucket that very many share.
+    placed = rooted.join(materialize(mixed, "mixed"), "bucket").withColumn("inside", F.col("root") == F.col("most"))
+    of = F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("inside"), F.col("large")).otherwise(F.col("small"))).cast("int")
+    placed = placed.withColumn("side", F.when(F.col("inside"), F.col("small") + of).otherwise(of))
+    others = F.when(F.col("inside"), F.col("small")).otherwise(F.col("small") + F.col("large"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
+    return met.select(
         "bucket", "node", "root", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")
     )
-    dealt = dealt.join(texts.select("node", "text"), "node")
+
+
+def further_links(
+    members: DataFrame, roots: DataFrame, texts: DataFrame, similar: float, block: int, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """Links between different components of a bucket, at least one for each two that have any.
+
+    ``members``: bucket, node. Tasks are cut by number of texts and by their bytes, see ``dealt_out``.
+    """
+    sizes = texts.select("node", F.octet_length("text").alias("bytes"))
+    dealt = dealt_out(members, roots, sizes, block, block_bytes).join(texts.select("node", "text"), "node")
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("node")
         nodes, side = group["node"].tolist(), group["side"].to_numpy()
         root = pd.factorize(group["root"])[0]
         apart = group["low"].iloc[0] != group["high"].iloc[0]
-        names: dict = {}
-        owners, shingles, weights, total = [], [], [], []
-        for n, text in enumerate(group["text"]):
-            counts = bag(text)
-            total.append(counts.total())
-            owners += [n] * len(counts)
-            shingles += [names.setdefault(s, len(names)) for s in counts]
-            weights += counts.values()
-        owners, shingles, weights = np.array(owners), np.array(shingles), np.array(weights)
-        total = np.array(total)
+        texts = group["text"].tolist()
+        bags = shingle_hashes([body_of(t) for t in texts])
+        total = np.array([counts.sum() for _, counts in bags])
+        mine = np.cumsum([0] + [len(hashes) for hashes, _ in bags])
+        owners, weights = np.repeat(np.arange(len(nodes)), np.diff(mine)), np.concatenate([c for _, c in bags])
+        names, shingles = np.unique(np.concatenate([h for h, _ in bags]), return_inverse=True)
         order = np.argsort(shingles, kind="stable")
         cut = np.searchsorted(shingles[order], np.arange(len(names) + 1))
-        mine = np.searchsorted(owners, np.arange(len(nodes) + 1))
         links = []
         for n in range(len(nodes)):
             if (root[n + 1 :] == root[n]).all():
@@ -275,12 +304,13 @@ def further_links(members: DataFrame, roots: DataFrame, texts: DataFrame, simila
             if apart:
                 near &= side != side[n]
             for m in near.nonzero()[0]:
-                if root[m] != root[n]:
+                # Hashes found them; the shingles themselves decide.
+                if root[m] != root[n] and overlap(bag(texts[m]), bag(texts[n])) >= similar:
                     links.append((nodes[m], nodes[n]))
                     root[root == root[m]] = root[n]
         return pd.DataFrame(links, columns=["a", "b"]).astype(object)
 
-    return dealt.groupBy("bucket", "low", "high").applyInPandas(search, "a string, b string")
+    return dealt.groupBy("bucket", "low", "high").applyInPandas(search, "a binary, b binary")
 
 
 def near_classes(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
@@ -288,11 +318,12 @@ def near_classes(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS,
     docs = placed(docs.select("doc_id", "text"))
     signed = materialize(banded(docs, bands, rows), "signed")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "pos")
-    nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min(row).alias("holder"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands")
-    )
+    nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min(row).alias("holder"), F.count(F.lit(1)).alias("size"))
     nodes = materialize(nodes, "nodes")
-    filed = nodes.select("node", F.explode("bands").alias("bucket"))
+    # Equal words have equal bands: those of the holder are taken.
+    one = nodes.select("node", "holder.file", "holder.pos")
+    filed = signed.select("node", "file", "pos", "bands").join(one, ["node", "file", "pos"], "left_semi")
+    filed = filed.select("node", F.explode("bands").alias("bucket"))
     buckets = filed.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least <> most")
     # Written, so that the join can split the nodes of a bucket that very many share.
     buckets = materialize(buckets.select("bucket", "least"), "buckets")
@@ -306,8 +337,11 @@ def near_classes(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS,
     if not more.isEmpty():
         roots = components(links.unionByName(more))
     classed = nodes.join(roots, "node", "left").select("node", "holder", "size", F.coalesce("root", "node").alias("root"))
+    # Written, so that Spark can split the nodes of a class, or the rows of a node, that very many share.
+    classed = materialize(classed, "classed")
     classes = classed.groupBy("root").agg(F.min("holder").alias("holder"), F.sum("size").alias("class_size"))
-    of_node = classed.select("node", "root").join(classes, "root").select("node", "holder", "class_size")
+    of_node = classed.select("node", "root").join(materialize(classes, "classes"), "root")
+    of_node = materialize(of_node.select("node", "holder", "class_size"), "of-node")
     own = F.when(F.col("node").isNull(), row)
     return signed.join(of_node, "node", "left").select(
         "doc_id", "file", "pos", F.coalesce("holder", own).alias("holder"), F.coalesce("class_size", F.lit(1)).alias("class_size")
