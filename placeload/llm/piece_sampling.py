@@ -255,13 +255,13 @@ class Lattice:
 
     def draw(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
         """One arc of each place: the first whose end in ``until`` lies beyond place + u."""
-        spot = place + u
-        arc = np.minimum(self.guide[(spot * PARTS).astype(np.int64)], self.last[place])
-        behind = ((self.until[arc] <= spot) & (arc < self.last[place])).nonzero()[0]
+        spot, last = place + u, self.last[place]
+        arc = np.minimum(self.guide[(spot * PARTS).astype(np.int64)], last)
+        behind = ((self.until[arc] <= spot) & (arc < last)).nonzero()[0]
         while len(behind):
             arc[behind] += 1
             now = arc[behind]
-            behind = behind[(self.until[now] <= spot[behind]) & (now < self.last[place[behind]])]
+            behind = behind[(self.until[now] <= spot[behind]) & (now < last[behind])]
         return arc
 
     def walk(self, place: np.ndarray, word: np.ndarray, step: np.ndarray, seed: np.ndarray) -> dict[str, np.ndarray]:
@@ -307,21 +307,25 @@ class Path:
         """The largest value of what this path leaves behind, and its node."""
         if self.open is None:
             deep = int(np.searchsorted(-self.log[:-1], -DEEP, side="right"))
-            self.open = self._draw(seed, self.first, max(deep, self.first))
-            best = self.open.max(initial=-np.inf)
-            if deep < len(self.others) and best < DEEP + GUMBEL:
-                self.open = self._draw(seed, self.first, len(self.others))
-        if not len(self.open):
-            return -np.inf, -1
-        n = int(self.open.argmax())
-        return float(self.open[n]), self.first + n
-
-    def _draw(self, seed: int, a: int, b: int) -> np.ndarray:
-        phi = np.full(b - a, -np.inf)
-        some = self.others[a:b] > 1e-12
-        phi[some] = self.log[a:b][some] + np.log(self.others[a:b][some])
+            self._draw(seed, self.first, max(deep, self.first))
+            if deep < len(self.others) and self._largest()[0] < DEEP + GUMBEL:
+                self._draw(seed, self.first, len(self.others))
+        value, n = self._largest()
+        return value, self.first + n if n >= 0 else n
+
+    def _draw(self, seed: int, a: int, b: int) -> None:
+        """Exponential numbers at the rates of what the nodes leave behind: the least has the largest Gumbel value."""
         u = uniform(mix(np.arange(a, b, dtype=np.uint64) * U(2) + U(1) + mix(np.array([seed], np.uint64))))
-        return -np.logaddexp(-self.value, -phi + np.log(-np.log(u)))
+        self.drawn = -np.log(u)
+        with np.errstate(divide="ignore"):
+            self.open = self.drawn / np.where(self.others[a:b] > 1e-12, np.exp(self.log[a:b]) * self.others[a:b], 0.0)
+
+    def _largest(self) -> tuple[float, int]:
+        n = int(self.open.argmin()) if len(self.open) else -1
+        if n < 0 or np.isinf(self.open[n]):
+            return -np.inf, n
+        phi = self.log[self.first + n] + np.log(self.others[self.first + n])
+        return float(-np.logaddexp(-self.value, -phi + np.log(self.drawn[n]))), n
 
 
 def sample_pieces(texts: list[str], keys: list[int], words: Vocabulary, k: int) -> list[list[tuple]]:
@@ -370,7 +374,7 @@ def _extend(lattice: Lattice, paths: list[list[Path]], turns: list, seeds: np.nd
         share[gone - lattice.first[place]] = 0.0
         u = uniform(mix(seeds[d : d + 1] + U(n * 1_000_003 + 17)))[0] * share.sum()
         new = int(lattice.first[place]) + int(min(np.searchsorted(np.cumsum(share), u, side="right"), share.nonzero()[0][-1]))
-        parent.open[node - parent.first] = -np.inf
+        parent.open[node - parent.first] = np.inf
         starts.append((d, parent, node, value, gone, place, new))
     begin, word, step, seed = [], [], [], []
     for d, parent, node, _, _, place, new in starts:
