@@ -53,8 +53,7 @@ def load_flat(
     """Flat load: typed columns, then the cell key (resolution 6 by default).
 
     Appends; with ``keys`` it updates the rows whose key the destination already has, and
-    reports as ``rows_out`` what a catalog table had to have written or a database table holds
-    then. Over JDBC only the changed rows travel, see ``apply_changes``; ``config.jdbc_apply`` says how they
+    reports as ``rows_out`` the rows that the destination holds then, ``null_keys`` of those written. Over JDBC only the changed rows travel, see ``apply_changes``; ``config.jdbc_apply`` says how they
     are applied. ``"reload"`` writes the whole table; one with a text key is then read in ranges of the
     cell key, unless ``config.jdbc_split`` says how to split it. A database that updates on an existing
     primary key by itself needs no ``keys``: set its flag in ``config.jdbc_options`` and append.
@@ -76,7 +75,9 @@ def load_flat(
 
     if config.jdbc_url is None:
         merged, write = merge_into(rows, config.dest_table, keys, order_by)
-        return _logged(observed_write(merged, KEY_NAME, write, rows_in), config)
+        report = observed_write(merged, KEY_NAME, write, rows_in)
+        # What Spark's footers say: files and partitions without a change were not written.
+        return _logged(replace(report, rows_out=spark.table(config.dest_table).count()), config)
     target = jdbc_target(config)
     settings = {"num_partitions": config.num_partitions, "batch_size": config.batch_size}
     if config.jdbc_apply != "reload":

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from placeload.functions.nested import literal, quoted
 from placeload.operators.sharding import balanced, shard_by
 from placeload.operators.upsert import latest_by_key, rows_not_in
+from placeload.sources.files import merge_files
 
 MODES = ("overwrite_truncate", "overwrite_create", "append")
 
@@ -149,14 +150,17 @@ def merge_into(
     """An upsert into the table: the rows to write, and how to write them.
 
     Only the partitions that ``incoming`` can change are read and written, if the table is
-    partitioned by part of its key. Otherwise its rows are written anew.
+    partitioned by part of its key; only the files that hold a changed row, if it is neither partitioned
+    nor bucketed, see ``merge_files``. Otherwise its rows are written anew.
     """
+    partitions, buckets = (_columns(incoming, name, kind) for kind in ("isPartition", "isBucket"))
+    if not partitions and not buckets:
+        return merge_files(incoming, name, _described(incoming, name, "Location"), keys, order_by)
     target = incoming.sparkSession.table(name)
     touched = touched_partitions(incoming, name, keys)
     if touched is not None:
         target = target.where(touched)
     kept, latest = rows_not_in(target, incoming, keys), latest_by_key(incoming, keys, order_by)
-    partitions, buckets = (_columns(incoming, name, kind) for kind in ("isPartition", "isBucket"))
     # Else every task would write a file into every partition, or into every bucket. What is
     # read from a bucket stays in it.
     if partitions:
