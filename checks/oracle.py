@@ -154,6 +154,7 @@ def oracles() -> dict[str, str]:
             WHERE length(lang) > 2 HAVING count(*) > 0
         """,
         "q_upsert": UPSERTED,
+        "q_upsert_files": UPSERTED,
         "q_upsert_table": """
             SELECT * REPLACE (
                 CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 = 0 THEN CAST(0 AS DOUBLE)
@@ -174,6 +175,25 @@ def oracles() -> dict[str, str]:
         """,
         "q_load_places": LOADED,
         "q_load_job": LOADED,
+        "q_load_ledger": LOADED,
+        "q_schema_drift": f"""
+            WITH given AS (SELECT column_name, {SPARK_TYPE} AS source_type FROM (DESCRIBE orders)),
+            made(place, column_name, target_type) AS (VALUES
+                (1, 'o_orderkey', 'int'), (2, 'o_custkey', 'decimal(20,0)'), (3, 'o_totalprice', 'double'),
+                (4, 'o_orderstatus', 'string'), (5, 'o_orderdate', 'date'), (6, 'note', 'string')),
+            joined AS (SELECT column_name, source_type, target_type FROM given FULL JOIN made USING (column_name))
+            SELECT column_name,
+                CASE WHEN source_type IS NULL THEN 'fill' WHEN target_type IS NULL THEN 'add' WHEN source_type = target_type THEN 'keep'
+                    WHEN target_type LIKE 'decimal%' THEN 'cast' ELSE 'widen' END AS action,
+                source_type, target_type,
+                CASE WHEN source_type IS NULL OR target_type LIKE 'decimal%' THEN target_type ELSE source_type END AS result_type
+            FROM joined
+        """,
+        "q_widened_table": """
+            SELECT o_orderkey, CASE WHEN o_orderkey < 100 THEN o_custkey END AS o_custkey, o_orderstatus,
+                CASE WHEN o_orderkey >= 100 THEN o_totalprice END AS o_totalprice
+            FROM orders
+        """,
         "q_load_report": """
             SELECT 'capped' AS load, count(*) AS rows_in, count(*) // 2 AS rows_out,
                 CAST(NULL AS BIGINT) AS null_keys FROM orders

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import placeload as pl
 from placeload.plans.places import FLAT_LATITUDE, FLAT_LONGITUDE, KEY_NAME
@@ -225,6 +226,15 @@ def q_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def q_upsert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An upsert into a table of plain files, of which it rewrites those that hold a changed row."""
+    name = fresh("plain")
+    orders = table(spark, sf_dir, "orders")
+    pl.write_table(orders, name, path=pl.scratch_path(spark, name))
+    pl.upsert_table(_incoming(orders), name, ["o_orderkey"])
+    return spark.table(name)
+
+
 def q_latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pl.latest_by_key(table(spark, sf_dir, "events"), ["user_id"], order_by=["ts", "event_id"])
 
@@ -328,6 +338,37 @@ def q_load_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def q_load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load repeated: the second run finds nothing new, the third just a file that came late."""
+    name, ledger = fresh("ledgered"), fresh("ledger")
+    source, rows = pl.scratch_path(spark, "daily"), places(spark, sf_dir)
+    config = pl.LoadConfig(source=source, dest_table=name, path=pl.scratch_path(spark, name), ledger=ledger)
+    late = F.pmod(F.xxhash64("placeIdentifier"), F.lit(3)) == 0
+    for part in (rows.where(~late), None, rows.where(late)):
+        if part is not None:
+            part.write.mode("append").parquet(source)
+        pl.load_places(spark, config, "append")
+    return spark.table(name)
+
+
+def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The steps by which the orders fit a table made for narrower, other and fewer columns."""
+    orders = table(spark, sf_dir, "orders")
+    made_for = "o_orderkey INT, o_custkey DECIMAL(20,0), o_totalprice DOUBLE, o_orderstatus STRING, o_orderdate DATE, note STRING"
+    return pl.drift_frame(spark, pl.drift(orders.schema, T.StructType.fromDDL(made_for)))
+
+
+def q_widened_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of narrow columns that takes the orders after it was widened and got a column."""
+    name = fresh("widened")
+    orders = table(spark, sf_dir, "orders")
+    narrow = orders.where("o_orderkey < 100").select(F.col("o_orderkey").cast("int").alias("o_orderkey"), "o_custkey", "o_orderstatus")
+    pl.write_table(narrow, name, path=pl.scratch_path(spark, name))
+    rows = orders.where("o_orderkey >= 100").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    pl.write_table(pl.apply_drift(rows, name), name, "append")
+    return spark.table(name)
+
+
 # --- JDBC -----------------------------------------------------------------------------
 
 

@@ -12,7 +12,9 @@ from placeload.operators.quality import (
 from placeload.operators.report import LoadReport
 from placeload.operators.sharding import shard_by, shard_report
 from placeload.operators.upsert import latest_by_key, upsert
+from placeload.plans.drift import Step, adapted, apply_drift, drift, drift_frame
 from placeload.plans.jobs import load_flat, load_places
+from placeload.plans.ledger import ledger_table, new_files, settle, unsettled
 from placeload.plans.places import append_cell_key, places_frame
 from placeload.plans.sql import run_in_full, run_script, run_sql
 from placeload.plans.tables import CATEGORIES, PLACES, ColumnDef, TableDef, create_or_replace
@@ -36,18 +38,25 @@ __all__ = [
     "LoadConfig",
     "LoadReport",
     "PLACES",
+    "Step",
+    "adapted",
     "TableDef",
     "append_cell_key",
     "apply_changes",
+    "apply_drift",
     "check_constraints",
     "column_types",
     "constraint_violations",
     "create_or_replace",
+    "drift",
+    "drift_frame",
     "geo_cell",
     "latest_by_key",
+    "ledger_table",
     "load_flat",
     "load_places",
     "materialize",
+    "new_files",
     "places_frame",
     "publish",
     "read_jdbc",
@@ -58,12 +67,14 @@ __all__ = [
     "run_script",
     "run_sql",
     "scratch_path",
+    "settle",
     "shard_by",
     "shard_report",
     "stringify_nested",
     "swap",
     "table_exists",
     "target_schema",
+    "unsettled",
     "upsert",
     "upsert_jdbc",
     "upsert_table",

@@ -21,7 +21,9 @@ class LoadConfig:
     (``jdbc.option.<name>`` in the Spark configuration). ``jdbc_split`` is a whole-number
     expression of the database by which a reload splits the table it reads, see ``read_jdbc``.
     ``jdbc_apply`` says how keyed rows reach the table (``merge``, ``replace`` or ``reload``), and with
-    ``jdbc_staged`` a load that replaces a table shows when it is complete.
+    ``jdbc_staged`` a load that replaces a table shows when it is complete. ``ledger`` names a catalog
+    table of loaded files: a load then takes only files of ``source`` that are not in it. ``files`` are the
+    files of ``source`` to load, all if it is None.
     """
 
     source: str
@@ -40,12 +42,16 @@ class LoadConfig:
     jdbc_split: str | None = None
     jdbc_apply: str = "merge"
     jdbc_staged: bool = True
+    ledger: str | None = None
+    files: tuple[str, ...] | None = None
 
     def __post_init__(self) -> None:
         if self.jdbc_apply not in ("merge", "replace", "reload"):
             raise ValueError(f"jdbc_apply must be merge, replace or reload, got {self.jdbc_apply!r}")
         if self.limit is not None and self.limit < 0:
             raise ValueError(f"limit must not be negative, got {self.limit}")
+        if self.ledger is not None and self.limit is not None:
+            raise ValueError("a ledger holds files that were loaded as a whole, so it takes no limit")
         for name in ("num_partitions", "batch_size", "shards"):
             value = getattr(self, name)
             if value is not None and value < 1:
@@ -90,5 +96,6 @@ class LoadConfig:
             path=text("path"),
             jdbc_split=text("jdbc.split"),
             jdbc_apply=text("jdbc.apply") or "merge",
+            ledger=text("ledger"),
             jdbc_staged=(text("jdbc.staged") or "true").lower() == "true",
         )

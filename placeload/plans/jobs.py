@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,6 +15,7 @@ from placeload.functions.nested import quoted
 from placeload.operators.report import LoadReport, observed_write
 from placeload.operators.sharding import shard_by
 from placeload.operators.upsert import fail_if, latest_by_key, upsert
+from placeload.plans.ledger import begin, new_files, paths, settle, unsettled
 from placeload.plans.places import KEY_NAME, append_cell_key, places_frame
 from placeload.plans.tables import TableDef, create_or_replace
 from placeload.sources.jdbc import JdbcTarget, read_jdbc, row_count, table_exists, write_jdbc
@@ -36,9 +37,13 @@ def load_places(
 
     Reads the source once. Rows are shuffled only if ``config.shards`` is set. A destination
     that has to be created gets the column types of ``table``, and unbounded text without it;
-    a NULL in one of its NOT NULL columns fails the load.
+    a NULL in one of its NOT NULL columns fails the load. With ``config.ledger`` only ``append`` makes sense.
     """
-    source = read_table(spark, config.source, config.limit)
+    if config.ledger is not None:
+        if mode != "append":
+            raise ValueError("a ledger needs mode='append': what was loaded before has to stay")
+        return _from_ledger(spark, config, False, lambda one: load_places(spark, one, mode, table))
+    source = _read(spark, config)
     rows = places_frame(source, 3 if config.resolution is None else config.resolution)
     return _store(rows, config, mode, table, _rows_before_limit(spark, config))
 
@@ -62,7 +67,9 @@ def load_flat(
     With ``keys`` the rows are written once into the shared folder: the touched partitions,
     the keys and the latest rows are all taken from there.
     """
-    source = read_table(spark, config.source, config.limit)
+    if config.ledger is not None:
+        return _from_ledger(spark, config, keys is not None, lambda one: load_flat(spark, one, keys, order_by, table))
+    source = _read(spark, config)
     rows = append_cell_key(source, 6 if config.resolution is None else config.resolution)
     rows_in = _rows_before_limit(spark, config)
     if keys is None:
@@ -98,6 +105,37 @@ def load_flat(
     return _logged(report, config)
 
 
+def _read(spark: SparkSession, config: LoadConfig) -> DataFrame:
+    if config.files is None:
+        return read_table(spark, config.source, config.limit)
+    return spark.read.option("basePath", config.source).parquet(*config.files)
+
+
+def _from_ledger(
+    spark: SparkSession, config: LoadConfig, repeatable: bool, load: Callable[[LoadConfig], LoadReport]
+) -> LoadReport:
+    """Load the files that the ledger does not have, and note them.
+
+    They are noted before and after. Where a load did not say that it ended, a keyed load takes its files
+    again, since that changes nothing. Appending stops until ``settle`` says whether they had been loaded.
+    """
+    open_ = unsettled(spark, config.ledger, config.dest_table)
+    if open_ and not repeatable:
+        raise RuntimeError(f"loads {open_} into {config.dest_table} did not end: settle them, loaded or not")
+    files = new_files(spark, config.source, config.ledger, config.dest_table, again=repeatable)
+    files = materialize(files, "new-files")
+    found = paths(files)
+    if not found:
+        for load_id in open_:
+            settle(spark, config.ledger, config.dest_table, load_id, loaded=False)
+        return _logged(LoadReport(0, 0, 0, 0.0), config)
+    load_id = begin(files, config.ledger, config.dest_table)
+    report = load(replace(config, ledger=None, files=tuple(found)))
+    for done in (*open_, load_id):
+        settle(spark, config.ledger, config.dest_table, done, loaded=done == load_id)
+    return report
+
+
 def jdbc_target(config: LoadConfig) -> JdbcTarget:
     return JdbcTarget(
         url=config.jdbc_url,

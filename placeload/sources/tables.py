@@ -226,3 +226,29 @@ def replace_partitions(df: DataFrame, name: str) -> None:
     """
     write_table(df, name, "overwrite_truncate", partitions="dynamic")
     df.sparkSession.catalog.refreshTable(name)
+
+
+def rebuilt(spark: SparkSession, name: str, types: dict[str, str]) -> None:
+    """Write the table ``name`` anew with these column types, in its layout, and give it the old one's name.
+
+    A failed write leaves the table as it was.
+    """
+    if _columns(spark.table(name), name, "isBucket"):
+        raise ValueError(f"{name} is bucketed: write it anew with write_sharded")
+    table, version = ".".join(map(quoted, name.split("."))), uuid.uuid4().hex
+    staged, old = (".".join(map(quoted, f"{name}{end}{version}".split("."))) for end in ("_v", "_old_v"))
+    df = spark.table(name)
+    partitions = _columns(df, name, "isPartition")
+    columns = ", ".join(f"{quoted(c)} {types[c]}" for c in df.columns)
+    parted = f" PARTITIONED BY ({', '.join(map(quoted, partitions))})" if partitions else ""
+    location = re.sub(VERSION, "", _described(df, name, "Location").rstrip("/")) + f"-v{version}"
+    spark.sql(f"CREATE TABLE {staged} ({columns}) USING parquet{parted} LOCATION {literal(location)}")
+    try:
+        write_table(balanced(df, partitions) if partitions else df, f"{name}_v{version}", "append")
+    except BaseException:
+        spark.sql(f"DROP TABLE {staged}")
+        raise
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {old}")
+    spark.catalog.refreshTable(name)
