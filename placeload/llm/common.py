@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from placeload.storage import materialize
@@ -59,6 +59,13 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return docs.join(gone, at, "left_anti")
 
 
+def first_by(rows: DataFrame, group: str, most: int, *order: str | Column) -> DataFrame:
+    """At most ``most`` rows of each value of ``group``, those that come first. Spark cuts the groups before it shuffles them."""
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    name = unused(rows, "rank")
+    return rows.withColumn(name, rank).filter(F.col(name) <= most).drop(name)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,11 +1,12 @@
 """Language identification in two steps: the family first, then the language within it.
 
 Texts become hashed byte trigrams of their letters (square roots of shares). Linear support
-vector machines, one for each pair of families, vote for the family; one for each pair of its
+vector machines, one for each family against the rest, choose the family by the largest margin; one for each pair of its
 languages, trained on these two alone, votes for the language. They are fitted on at most
-``PER_LANGUAGE`` rows of each language, chosen by hash of the id.
+``PER_LANGUAGE`` rows of each of the ``LANGUAGES`` most frequent languages, chosen by hash of the id, rows of one id by place.
 
-Defined results: a NULL text or one without a letter is ``und`` with score 0, as is every text if
+Defined results: ties go to the larger sum of margins, then to the first in the alphabet; rows with the same id are rows
+of their own; texts of any length are read as a whole, with about thirty bytes of working memory for each of theirs; a NULL text or one without a letter is ``und`` with score 0, as is every text if
 nothing could be learned; equal texts get equal results; a language without a known family is a family of its own.
 """
 
@@ -20,11 +21,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeload.llm.common import id_remainder
+from placeload.llm.common import first_by, id_remainder, located, placed
 from placeload.storage import materialize
 
 #: Rows of each language the classifiers are fitted on, at most.
 PER_LANGUAGE = 500
+#: Languages that are learned, those with the most rows, at most.
+LANGUAGES = 400
 #: Families of languages by code.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af fy lb yi",
@@ -103,10 +106,27 @@ class Machines:
         return self.classes[best], float(total[best] / (len(self.classes) - 1))
 
 
+class Rest:
+    """One linear machine for each class against all others; the largest probability wins, the first of equal ones."""
+
+    def __init__(self, x: np.ndarray, names: np.ndarray):
+        self.classes = sorted(set(names))
+        fitted = [fit_svm(x, names == c) for c in self.classes] if len(self.classes) > 1 else []
+        self.weights = np.array([f[0] for f in fitted]).reshape(-1, x.shape[1])
+        self.bias, self.scale = np.array([f[1] for f in fitted]), np.array([f[2] for f in fitted])
+
+    def predict(self, x: np.ndarray) -> tuple[str, float]:
+        if len(self.classes) == 1:
+            return self.classes[0], 1.0
+        sure = 1 / (1 + np.exp(-np.clip(self.scale * (self.weights @ x + self.bias), -40, 40)))
+        best = int(sure.argmax())
+        return self.classes[best], float(sure[best])
+
+
 class Identifier:
     def __init__(self, x: np.ndarray, langs: np.ndarray):
         families = np.array([FAMILY.get(lang.lower(), lang) for lang in langs], object)
-        self.family = Machines(x, families)
+        self.family = Rest(x, families)
         self.within = {f: Machines(x[families == f], langs[families == f]) for f in self.family.classes}
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -118,18 +138,21 @@ class Identifier:
         return lang, p * q
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Identifier | None:
+def sample(docs: DataFrame, per_language: int, languages: int) -> DataFrame:
+    """Rows to learn from: lang and text. At most ``per_language`` of each, whatever ids repeat.
+
+    Rows are chosen by hash of the id, then by place; a read of ids and languages finds their places.
+    """
+    docs = placed(docs.select("doc_id", "text", "lang"))
     learning = docs.filter("lang IS NOT NULL AND text IS NOT NULL").filter(id_remainder("doc_id", 5) != 0)
-    langs = [r["lang"] for r in learning.select("lang").distinct().collect()]  # one row per language
-    order = F.struct(F.xxhash64("doc_id").alias("hash"), "doc_id")
-    ids = None
-    for lang in sorted(langs):
-        part = learning.filter(F.col("lang") == lang).select("doc_id", "lang", order.alias("at"))
-        part = part.orderBy("at").limit(per_language).select("doc_id", "lang")
-        ids = part if ids is None else ids.unionByName(part)
-    if ids is None:
-        return None
+    rows = located(learning, "doc_id", "lang")
+    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
+    chosen = first_by(rows, "lang", per_language, F.xxhash64("doc_id"), "doc_id", "file", "pos").join(common, "lang", "left_semi")
+    chosen = materialize(chosen.select("file", "pos"), "language-places")
+    return located(learning, "lang", "text").join(chosen, ["file", "pos"]).select("lang", "text")
+
 
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> Identifier | None:
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
@@ -139,9 +162,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Identifier | None:
                 rows.append((lang, at.astype(np.int32), counts[at].astype(np.int32)))
             yield pd.DataFrame(rows, columns=["lang", "at", "n"])
 
-    sampled = learning.select("doc_id", "lang", "text").join(ids.distinct(), ["doc_id", "lang"])
-    rows = sampled.mapInPandas(describe, "lang string, at array<int>, n array<int>")
-    rows = materialize(rows, "language-sample").collect()  # bounded: rows per language times WIDTH
+    rows = sample(docs, per_language, languages).mapInPandas(describe, "lang string, at array<int>, n array<int>")
+    rows = materialize(rows, "language-sample").collect()  # bounded: rows per language times languages times WIDTH
     rows = sorted((r for r in rows if r["at"]), key=lambda r: (r["lang"], r["at"], r["n"]))
     if not rows:
         return None
