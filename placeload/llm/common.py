@@ -59,11 +59,18 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return docs.join(gone, at, "left_anti")
 
 
-def first_by(rows: DataFrame, group: str, most: int, *order: str | Column) -> DataFrame:
-    """At most ``most`` rows of each value of ``group``, those that come first. Spark cuts the groups before it shuffles them."""
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    name = unused(rows, "rank")
-    return rows.withColumn(name, rank).filter(F.col(name) <= most).drop(name)
+def first_by(rows: DataFrame, group: str, most: int, *order: str | Column, parts: int = 64) -> DataFrame:
+    """At most ``most`` rows of each value of ``group``, those that come first.
+
+    Spark cuts the groups before it shuffles them; what is left of all tasks is cut in ``parts`` of a group
+    before the last of it meets.
+    """
+    name, part = unused(rows, "rank"), unused(rows, "part")
+    kept = rows.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(parts)))
+    for keys in ((group, part), (group,)):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        kept = kept.withColumn(name, rank).filter(F.col(name) <= most).drop(name)
+    return kept.drop(part)
 
 
 def partitions(spark: SparkSession) -> int:

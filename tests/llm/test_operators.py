@@ -140,6 +140,26 @@ def test_suffix_dedup_stage(docs, nothing):
     assert texts[14] == "x" and texts[13] == LONG
 
 
+def test_hot_windows_are_decided_by_their_bytes(monkeypatch):
+    """Windows dealt to one key by a hash that they share by chance are told apart."""
+    import pandas as pd
+    import zstandard
+
+    texts = [b"x" * 50, b"y" * 50, b"x" * 50, b"z" * 49 + b"x", b"y" * 50]
+    ranks, n = np.array([5, 1, 3, 2, 9], np.int64), len(texts)
+    whole = (np.full(n, 77, np.uint64).tobytes(), np.zeros(n, np.uint64).tobytes(), zstandard.compress(ranks.tobytes()))
+    row = (0, 0, *whole, suffix_dedup.squeezed(np.arange(n, dtype=np.int32)), np.full(n, 128, np.uint8).tobytes(), zstandard.compress(b"".join(texts)), b"")
+    names = ["bucket", "batch_id", "key", "run", "rank", "start", "span", "body", "known"]
+    entry, shift, _, _ = suffix_dedup.solved(pd.DataFrame([row], columns=names))
+    assert sorted(entry.tolist()) == [0, 4] and not shift.any()
+
+
+def test_groups_of_buckets_follow_the_bytes(spark):
+    few = suffix_dedup.partitions(spark)
+    assert suffix_dedup.bucket_count(spark, 1000) == few
+    assert suffix_dedup.bucket_count(spark, 100 << 40) * suffix_dedup.BUCKET >= 100 << 40
+
+
 def test_suffix_blocks_cover_all_windows(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BLOCK", 300)
     bodies = [LONG.encode()[:1000], b"", b"short", LONG.encode()[:50], LONG.encode()[500:1200]]
