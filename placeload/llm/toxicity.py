@@ -7,8 +7,8 @@ picks the restored word, whatever the length. Where a disguise has several readi
 parts between signs, letters that occur twice as two and as one, letters apart by unlike blanks), the words of
 all of them count, so that no reading hides another. The model knows the letters of Latin-1; words of other
 scripts count as they are written, nothing in them is restored. A sparse logistic regression on the restored words and their
-first letters, whose weights are not negative, gives the score: its penalty chooses the features from all that ``SUPPORT`` toxic
-rows have, then their weights are fitted anew with little of it. It is fitted on a bounded sample of the labelled rows
+first letters gives the score. Of the sample's features those may have a weight that 0.4 per cent of its toxic rows have (two at
+least), three times as often as the others, the 4,000 most frequent of these. It is fitted on a bounded sample of the labelled rows
 (``PER_CLASS`` of either label, by hash of the id, rows of one id by place); all else covers all data.
 
 Defined results: rows with the same id are rows of their own; texts of any length are read as a whole, word by word; NULL and empty texts score the base rate; a doc_id that is NULL counts as an
@@ -32,10 +32,6 @@ from placeload.storage import materialize
 
 #: Labelled rows of either label the classifier is fitted on, at most.
 PER_CLASS = 3000
-#: Toxic rows that a feature must be in, how many of them its weight has to be worth, and rounds in which features come in.
-SUPPORT, PENALTY, ROUNDS = 2, 2.0, 8
-#: Part of the penalty that the weights of the chosen features are fitted with.
-RELAXED = 0.1
 #: Letters that a sign may stand for.
 STANDS_FOR = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -273,52 +269,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Score
     sizes = dict(rows.groupBy("toxic").count().collect())
     if not (sizes.get(0) and sizes.get(1) and natural.get(1)):
         return Scorer(model, {}, -40.0)
-    share = {1: natural[1] / sizes[1], 0: natural.get(0, 1) / sizes[0]}
-    total = share[1] * sizes[1] + share[0] * sizes[0]
-    share = {k: v / total for k, v in share.items()}
-    penalty, names = PENALTY * share[1], []
-    weights, bias = np.zeros(0), float(np.log((share[1] * sizes[1] + 1e-6) / (share[0] * sizes[0] + 1e-6)))
-    for _ in range(ROUNDS):
-        new = pulling(rows, dict(zip(names, weights.tolist(), strict=True)), bias, share, penalty)
-        if not new:
-            break
-        names += new
-        data = chosen_features(rows, names)
-        y = np.array([r["toxic"] for r in data], np.float64)
-        weights, bias = fit_sparse([r["found"] for r in data], y, np.where(y == 1, share[1], share[0]), len(names), penalty, steps=200)
-    if names:
-        # The penalty has chosen; the weights of those it left are fitted anew with little of it.
-        names = [f for f, w in zip(names, weights, strict=True) if w]
-        data = chosen_features(rows, names)
-        y = np.array([r["toxic"] for r in data], np.float64)
-        weights, bias = fit_sparse([r["found"] for r in data], y, np.where(y == 1, share[1], share[0]), len(names), RELAXED * penalty)
-    return Scorer(model, {f: float(w) for f, w in zip(names, weights, strict=True) if w}, bias)
-
-
-def pulling(rows: DataFrame, weights: dict[str, float], bias: float, share: dict[int, float], penalty: float) -> list[str]:
-    """Features without a weight that the penalty would let have one: the condition of the optimum, tested on all.
-
-    A feature stays at zero where the sum of the errors of the rows that have it is no larger than the penalty. So the
-    penalty alone says which features there are, apart from those of a single toxic row.
-    """
-
-    def errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            z = np.array([bias + sum(weights.get(f, 0.0) for f in fs) for fs in batch["found"]])
-            p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-            pull = np.where(batch["toxic"] == 1, share[1], share[0]) * (batch["toxic"] - p)
-            yield pd.DataFrame({"toxic": batch["toxic"], "found": batch["found"], "pull": pull})
-
-    pulled = rows.mapInPandas(errors, "toxic int, found array<string>, pull double")
-    found = pulled.select("toxic", "pull", F.explode("found").alias("f")).groupBy("f").agg(
-        F.sum("pull").alias("pull"), F.sum("toxic").alias("toxic")
+    one = (F.col("toxic") == 1).cast("int")
+    useful = (
+        rows.select(one.alias("toxic"), F.explode("found").alias("f"))
+        .groupBy("f")
+        .agg(F.sum("toxic").alias("with"), F.count(F.lit(1)).alias("docs"))
+        .filter(f"with >= greatest(2, {0.004 * sizes[1]}) AND with / {sizes[1]} > 3 * (docs - with) / {sizes[0]}")
+        .orderBy(F.desc("with"), "f")
+        .limit(4000)
     )
-    found = found.filter(f"toxic >= {SUPPORT} AND pull > {penalty * (1 + 1e-3)}").select("f").collect()
-    return sorted(r["f"] for r in found if r["f"] not in weights)
-
-
-def chosen_features(rows: DataFrame, names: list[str]) -> list:
-    """The sample's rows (bounded) with the numbers of the features they have."""
+    names = [r["f"] for r in useful.select("f").collect()]
     index = {f: n for n, f in enumerate(names)}
 
     def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -328,11 +288,14 @@ def chosen_features(rows: DataFrame, names: list[str]) -> list:
 
     data = rows.mapInPandas(chosen, "toxic int, found array<int>").collect()
     data.sort(key=lambda r: (r["toxic"], r["found"]))
-    return data
+    y = np.array([r["toxic"] for r in data], np.float64)
+    weight = np.where(y == 1, natural[1] / sizes[1], natural.get(0, 1) / sizes[0])
+    weights, bias = fit_sparse([r["found"] for r in data], y, weight / weight.sum(), len(names))
+    return Scorer(model, {f: float(w) for f, w in zip(names, weights, strict=True) if w}, bias)
 
 
-def fit_sparse(found: list[list[int]], y: np.ndarray, weight: np.ndarray, width: int, l1: float, steps: int = 600):
-    """Logistic regression with an L1 penalty and no negative weight, by accelerated proximal gradient."""
+def fit_sparse(found: list[list[int]], y: np.ndarray, weight: np.ndarray, width: int, l1: float = 4e-5, steps: int = 600):
+    """Logistic regression with an L1 penalty by accelerated proximal gradient."""
     row = np.repeat(np.arange(len(found)), [len(f) for f in found])
     col = np.array([x for f in found for x in f], np.int64)
     most = max((len(f) for f in found), default=0) + 1
@@ -351,7 +314,7 @@ def fit_sparse(found: list[list[int]], y: np.ndarray, weight: np.ndarray, width:
         last = loss
         g = weight * (p - y)
         new = v - rate * np.bincount(col, g[row], width)
-        new = np.maximum(new - rate * l1, 0)
+        new = np.sign(new) * np.maximum(np.abs(new) - rate * l1, 0)
         new_b = c - rate * g.sum()
         s = (1 + np.sqrt(1 + 4 * t * t)) / 2
         v, c = new + (t - 1) / s * (new - w), new_b + (t - 1) / s * (new_b - b)

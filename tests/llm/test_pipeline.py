@@ -16,14 +16,14 @@ DATA = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def database():
     with duckdb.connect() as connection:
-        for table in ("documents", "pages", "labels"):
+        for table in ("documents", "pages", "labels", "embeddings", "benchmark"):
             connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{DATA}/{table}.parquet')")
         yield connection
 
 
 def test_registered():
     assert {*queries.registered(), "pipeline"} <= contract.queries().keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.registered()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.registered()) == list(range(1, 14))
     assert oracle.ORACLES.keys() <= queries.registered().keys()
 
 
