@@ -153,6 +153,15 @@ def oracles() -> dict[str, str]:
             SELECT 'width', 'lang', NULL, count(*) FROM documents
             WHERE length(lang) > 2 HAVING count(*) > 0
         """,
+        "q_profile_merged": f"""
+            WITH counted AS ({profile("orders", ["o_orderstatus", "o_orderpriority"])}),
+            distinct_values AS (
+                SELECT 'o_orderstatus' AS column_name, count(DISTINCT o_orderstatus) AS n FROM orders
+                UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority) FROM orders)
+            SELECT column_name, (SELECT count(*) FROM orders) AS rows, filled, max_length, {WIDTH} AS width,
+                n <= 16 AS few_values, CASE WHEN n <= 16 THEN n END AS values_if_few
+            FROM counted JOIN distinct_values USING (column_name)
+        """,
         "q_upsert": UPSERTED,
         "q_upsert_files": UPSERTED,
         "q_upsert_table": """
@@ -176,6 +185,19 @@ def oracles() -> dict[str, str]:
         "q_load_places": LOADED,
         "q_load_job": LOADED,
         "q_load_ledger": LOADED,
+        "q_box_read": f"""
+            WITH {PLACES}
+            SELECT o_orderkey, o_totalprice, lat AS "geocodes_mainEntry_latitude", lon AS "geocodes_mainEntry_longitude"
+            FROM places WHERE lat BETWEEN -20.5 AND 48.0 AND (lon >= 150.25 OR lon <= -100.0)
+        """,
+        "q_curve_key": f"""
+            WITH {PLACES}, cells AS (SELECT o_orderkey, {cell(3)} AS k FROM places)
+            SELECT CAST(o_orderkey AS VARCHAR) AS "placeIdentifier",
+                (k // {2**58}) * {2**58}
+                + {" + ".join(f"((k // {2**29}) // {2**n}) % 2 * {2 ** (2 * n + 1)}" for n in range(3))}
+                + {" + ".join(f"(k // {2**n}) % 2 * {4**n}" for n in range(4))} AS curve_key
+            FROM cells
+        """,
         "q_schema_drift": f"""
             WITH given AS (SELECT column_name, {SPARK_TYPE} AS source_type FROM (DESCRIBE orders)),
             made(place, column_name, target_type) AS (VALUES

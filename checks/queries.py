@@ -181,6 +181,20 @@ def q_width_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles[0].unionByName(profiles[1]).unionByName(profiles[2])
 
 
+def q_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of orders, one of them run twice, profiled as they come and advised on from their sketches."""
+    name, orders = fresh("profiles"), table(spark, sf_dir, "orders")
+    for load in (0, 1, 1, 2):
+        part = orders.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == load)
+        pl.keep_sketches(part, name, f"load-{load}", pl.scratch_path(spark, name))
+    advice = pl.sketch_profile(pl.merge_sketches(pl.kept_sketches(spark, name)), few=16)
+    # Sketches of so few distinct values have not begun to estimate.
+    return advice.select(
+        "column_name", "rows", "filled", "max_length", "width", "few_values",
+        F.when(F.col("few_values"), F.col("distinct_values")).alias("values_if_few"),
+    )
+
+
 def q_constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").withColumn(
         "l_returnflag", F.nullif(F.col("l_returnflag"), F.lit("R"))
@@ -351,6 +365,19 @@ def q_load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def q_box_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places of a box across the 180th meridian, from a table whose files follow the curve."""
+    name, rows = fresh("clustered"), flat_places(spark, sf_dir)
+    pl.write_clustered(rows, name, FLAT_LATITUDE, FLAT_LONGITUDE, path=pl.scratch_path(spark, name))
+    return pl.read_box(spark, name, pl.Box(-20.5, 150.25, 48.0, -100.0), FLAT_LATITUDE, FLAT_LONGITUDE)
+
+
+def q_curve_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every place lies on the curve, of the coarsest cells."""
+    cells = keyed(spark, sf_dir, 0)
+    return cells.select("placeIdentifier", pl.curve_key(KEY_NAME).alias("curve_key"))
+
+
 def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The steps by which the orders fit a table made for narrower, other and fewer columns."""
     orders = table(spark, sf_dir, "orders")

@@ -1,0 +1,159 @@
+import math
+
+import pyarrow.parquet as pq
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from conftest import plan, rows
+from placeload import Box, curve_key, curve_ranges, geo_cell, read_box, write_clustered, write_table
+from placeload.functions.geo import LEVEL_STEP, ROW_STEP, grid_level
+
+BOXES = [
+    Box(10, 20, 20, 35), Box(-5.5, 170, 12.25, -160.5), Box(-90, -180, 90, 180), Box(80, -180, 90, 180),
+    Box(0, 180, 0, -180), Box(33.3, 44.4, 33.3, 44.4), Box(-90, 0, -89.99, 0.01),
+]
+
+
+def interleaved(cell):
+    level, row, column = cell // LEVEL_STEP, cell % LEVEL_STEP // ROW_STEP, cell % ROW_STEP
+    bits = sum((row >> n & 1) << 2 * n + 1 | (column >> n & 1) << 2 * n for n in range(29))
+    return level * LEVEL_STEP + bits
+
+
+def inside(box, lat, lon):
+    if lat is None or lon is None:
+        return False
+    turned = (lon + 180) % 360
+    return box.south <= lat <= box.north and any(low <= turned <= high for low, high in box.spans())
+
+
+def points(step=7.5):
+    places = [(-90 + step * r, -180 + step * c) for r in range(int(180 / step) + 1) for c in range(int(360 / step) + 1)]
+    return [*places, (33.3, 44.4), (0.0, 180.0), (0.0, -180.0), (0.0, 540.0), (None, 1.0), (1.0, None), (-90.0, 0.0)]
+
+
+@pytest.mark.parametrize("resolution", [0, 3, 6, 15])
+def test_keys_interleave_the_bits_of_the_cell(spark, resolution):
+    df = spark.createDataFrame(points(), "lat double, lon double").select(geo_cell("lat", "lon", resolution).alias("cell"))
+    found = df.select("cell", curve_key("cell").alias("key")).collect()
+    assert [r["key"] for r in found] == [None if r["cell"] is None else interleaved(r["cell"]) for r in found]
+    text = plan(df.select(curve_key("cell")))
+    assert "Python" not in text
+
+
+@settings(max_examples=60, deadline=None)
+@given(
+    st.lists(st.floats(-90, 90), min_size=2, max_size=2), st.floats(-180, 180), st.floats(-180, 180),
+    st.integers(0, 15), st.sampled_from([4, 8, 32, 100]), st.lists(st.tuples(st.floats(0, 1), st.floats(0, 1)), max_size=20),
+)
+def test_ranges_hold_every_cell_of_the_box(lats, west, east, resolution, most, shares):
+    box, level = Box(min(lats), west, max(lats), east), grid_level(resolution)
+    ranges = curve_ranges(box, resolution, most)
+    assert 1 <= len(ranges) <= most and all(a[1] + 1 < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+    n = 2**level
+    for up, along in [*shares, (0, 0), (1, 1)]:
+        lat = box.south + up * (box.north - box.south)
+        for low, high in box.spans():
+            turned = min(high, low + along * (high - low))
+            row = min(n - 1, math.floor((math.sin(math.radians(min(box.north, lat))) + 1) / 2 * n))
+            column = min(2 * n - 1, math.floor(turned % 360 / 360 * 2 * n))
+            key = interleaved(level * LEVEL_STEP + row * ROW_STEP + column)
+            assert any(a <= key <= b for a, b in ranges)
+
+
+def test_ranges_of_the_whole_map_are_one():
+    assert curve_ranges(Box(-90, -180, 90, 180), 4) == [(9 * LEVEL_STEP, 9 * LEVEL_STEP + 2 ** 19 - 1)]
+    exact = curve_ranges(Box(10, 20, 11, 21), 6, 100_000)
+    rough = curve_ranges(Box(10, 20, 11, 21), 6, 16)
+    assert len(rough) <= 16 < len(exact) and all(any(a <= x and y <= b for a, b in rough) for x, y in exact)
+
+
+@pytest.mark.parametrize("bad", [(1, 0, 0, 1), (-91, 0, 0, 1), (0, -181, 1, 1), (0, 0, 1, 200), (math.nan, 0, 1, 1)])
+def test_other_boxes_are_refused(bad):
+    with pytest.raises(ValueError):
+        Box(*bad)
+
+
+@pytest.mark.parametrize("box", BOXES)
+def test_boxes_read_against_every_point(spark, box, clustered):
+    name, given_rows = clustered
+    found = read_box(spark, name, box, "lat", "lon", 4)
+    assert found.columns == ["id", "lat", "lon"]
+    assert rows(found) == sorted((r for r in given_rows if inside(box, *r[1:])), key=repr)
+    assert "PushedFilters: [" in plan(found) and "curve_key" in plan(found).split("PushedFilters: [")[1]
+
+
+@pytest.fixture(scope="module")
+def clustered(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("clustered") / "t")
+    given_rows = [(n, *p) for n, p in enumerate(points())]
+    write_clustered(spark.createDataFrame(given_rows, "id int, lat double, lon double"), "boxed", "lat", "lon", 4, path=path)
+    yield "boxed", given_rows
+    spark.sql("DROP TABLE boxed")
+
+
+def groups_read(path, column, ranges):
+    """Row groups whose least and greatest value meet a range, and how many there are."""
+    met = every = 0
+    for file in path.glob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.names.index(column)
+        for n in range(meta.num_row_groups):
+            values, every = meta.row_group(n).column(at).statistics, every + 1
+            met += values.has_min_max and any(low <= values.max and values.min <= high for low, high in ranges)
+    return met, every
+
+
+def test_a_box_reads_few_row_groups(spark, name, tmp_path):
+    """Against the order of the cell keys, whose ranges are whole rows of the map."""
+    n = F.col("id")
+    lat, lon = (n * 7919 % 17999) / 100 - 89.99, (n * 104729 % 35999) / 100 - 179.99
+    df = spark.range(100_000).select("id", lat.alias("lat"), lon.alias("lon"))
+    box = Box(40, 0, 60, 20)
+    write_clustered(df, name, "lat", "lon", 6, files=64, path=str(tmp_path / "curve"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        by_cell = df.withColumn("cell", geo_cell("lat", "lon", 6)).repartitionByRange(64, "cell")
+        write_table(by_cell, name + "_cells", path=str(tmp_path / "cells"), sort_by="cell")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = read_box(spark, name, box, "lat", "lon", 6)
+    wanted = df.where(box.holds("lat", "lon"))
+    assert rows(found) == rows(wanted) and found.count() > 100
+    met, every = groups_read(tmp_path / "curve", "curve_key", curve_ranges(box, 6))
+    level = grid_level(6)
+    edges = [math.floor((math.sin(math.radians(d)) + 1) / 2 * 2**level) for d in (box.south, box.north)]
+    strip = [(level * LEVEL_STEP + edges[0] * ROW_STEP, level * LEVEL_STEP + (edges[1] + 1) * ROW_STEP - 1)]
+    before, all_before = groups_read(tmp_path / "cells", "cell", strip)
+    assert every >= 60 and all_before >= 60
+    assert met <= 5 and before >= 5 and met < before
+    # What the scan itself says it handed on.
+    leaf = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+    found.collect()
+    assert leaf.metrics().apply("numOutputRows").value() <= 100_000 * 6 // 64
+
+
+def test_hot_cells_and_rows_without_coordinates_are_split(spark, name, tmp_path):
+    df = spark.range(30_000).select(
+        "id", F.when(F.col("id") % 3 > 0, F.lit(10.0)).alias("lat"), F.lit(20.0).alias("lon")
+    )
+    write_clustered(df, name, "lat", "lon", 6, files=12, path=str(tmp_path / "hot"))
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in (tmp_path / "hot").glob("*.parquet")]
+    assert sum(sizes) == 30_000 and max(sizes) < 6_000
+    assert read_box(spark, name, Box(10, 20, 10, 20), "lat", "lon", 6).count() == 20_000
+
+
+def test_empty_tables_appends_and_refusals(spark, name, tmp_path):
+    df = spark.createDataFrame([(1, 1.0, 2.0)], "id int, lat double, lon double")
+    write_clustered(df.limit(0), name, "lat", "lon", path=str(tmp_path / "t"))
+    assert read_box(spark, name, BOXES[2], "lat", "lon").collect() == []
+    write_clustered(df, name, "lat", "lon", mode="append")
+    assert rows(read_box(spark, name, BOXES[2], "lat", "lon")) == [(1, 1.0, 2.0)]
+    with pytest.raises(ValueError, match="already"):
+        write_clustered(df.withColumn("Curve_Key", F.lit(1)), name, "lat", "lon")
+    with pytest.raises(ValueError, match="files"):
+        write_clustered(df, name, "lat", "lon", files=0)
+    with pytest.raises(ValueError, match="most"):
+        curve_ranges(BOXES[0], 3, 3)
