@@ -2,12 +2,19 @@
 
 Each line of a text is described by its words, signs, letter case, digits, end and whether it
 repeats an earlier line. Viterbi decoding gives each line a label in the light of its neighbours; the
-share of characters in content lines decides whether the document stays. The field is fitted
-by gradient ascent on at most ``PER_CLASS`` documents of either quality label, cut into runs of lines
-(``RUNS`` of them at most, by checksum); their lines take the label of their document.
+share of bytes in content lines decides whether the document stays.
+
+Only documents have labels, so the labels of lines are learnt (hard expectation maximisation). At first a field without
+transitions tells the lines of good documents from those of bad ones, line by line. Then decoding and refitting take
+turns, ``ROUNDS`` times: a run of lines takes its likeliest labels among those that agree with its document's label, which is that at
+least half of the bytes are content in a good one and less than half in a bad one. More rounds would let the transitions
+confirm themselves until every document has one label throughout. The field is fitted by gradient ascent on at most ``PER_CLASS`` documents
+of either quality label, cut into runs of lines (``RUNS`` of them at most, by checksum).
 
 Defined results: a NULL text has no words and fails the base rules; a text without lines of words has a
-content share of 0; without labels of both kinds every line is content.
+content share of 0; without labels of both kinds every line is content. A tie of labels is content. A document labelled more than
+once has its least label; rows of one doc_id are judged each by itself, and all of them are in the sample if their id is. A text is
+held whole by one task, with some 130 bytes for each of its lines.
 """
 
 from __future__ import annotations
@@ -26,6 +33,8 @@ from placeload.storage import materialize
 #: Documents of either label the field is fitted on, at most; and runs of lines from them, at most.
 PER_CLASS = 400
 RUNS, RUN = 3000, 40
+#: How often the labels of lines are taken for granted and the field fitted to them.
+ROUNDS = 2
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
 UPPER = bytes(range(65, 91))
@@ -116,25 +125,25 @@ class Field:
         return np.array(labels[::-1])
 
 
-def fit_field(sequences: list[np.ndarray], labels: list[int], steps: int = 60, ridge: float = 1e-3) -> Field:
-    """Likelihood ascent by forward and backward sums, over all sequences at once."""
-    longest = max(len(s) for s in sequences)
-    x = np.zeros((len(sequences), longest, N_FEATURES))
-    mask = np.zeros((len(sequences), longest), bool)
-    for n, s in enumerate(sequences):
-        x[n, : len(s)], mask[n, : len(s)] = s, True
-    y = np.array(labels)
-    truth = np.zeros((len(sequences), longest, 2))
-    truth[np.arange(len(y)), :, y] = 1
-    truth *= mask[:, :, None]
-    pairs = np.zeros((2, 2))
-    for n, s in enumerate(sequences):
-        pairs[y[n], y[n]] += len(s) - 1
-    weight = 1 / mask.sum()
-    emit, step = np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
-    square_e, square_s = np.full_like(emit, 1e-8), np.full_like(step, 1e-8)
-    for _ in range(steps):
-        e = x @ emit
+class Runs:
+    """Runs of lines side by side, padded to the longest: what the likelihood is summed over."""
+
+    def __init__(self, sequences: list[np.ndarray]):
+        longest = max(len(s) for s in sequences)
+        self.x = np.zeros((len(sequences), longest, N_FEATURES))
+        self.mask = np.zeros((len(sequences), longest), bool)
+        for n, s in enumerate(sequences):
+            self.x[n, : len(s)], self.mask[n, : len(s)] = s, True
+
+    def gradient(self, labels: list[np.ndarray], field: Field) -> tuple[float, np.ndarray, np.ndarray]:
+        """Log-likelihood of the labels and its slopes by ``emit`` and ``step``, from forward and backward sums."""
+        x, mask, step = self.x, self.mask, field.step
+        longest = mask.shape[1]
+        truth, pairs = np.zeros((*mask.shape, 2)), np.zeros((2, 2))
+        for n, y in enumerate(labels):
+            truth[n, np.arange(len(y)), y] = 1
+            np.add.at(pairs, (y[:-1], y[1:]), 1)
+        e = x @ field.emit
         alpha, beta = np.zeros_like(e), np.zeros_like(e)
         alpha[:, 0] = e[:, 0]
         for t in range(1, longest):
@@ -149,13 +158,57 @@ def fit_field(sequences: list[np.ndarray], labels: list[int], steps: int = 60, r
         after = (e + beta)[:, 1:]
         edge = np.exp(alpha[:, :-1, :, None] + step + after[:, :, None, :] - total[:, None, None, None])
         edge = (edge * mask[:, 1:, None, None]).sum((0, 1))
-        g_e = np.einsum("ntf,ntl->fl", x, truth - node) * weight - ridge * emit
-        g_s = (pairs - edge) * weight - ridge * step
+        likelihood = (e * truth).sum() + (pairs * step).sum() - total.sum()
+        return float(likelihood), np.einsum("ntf,ntl->fl", x, truth - node), pairs - edge
+
+
+def fit_field(runs: Runs, labels: list[np.ndarray], chained: bool = True, steps: int = 60, ridge: float = 1e-3) -> Field:
+    """The field under which these labels of the lines are likeliest; without transitions if not ``chained``."""
+    weight = 1 / runs.mask.sum()
+    emit, step = np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
+    square_e, square_s = np.full_like(emit, 1e-8), np.full_like(step, 1e-8)
+    for _ in range(steps):
+        _, g_e, g_s = runs.gradient(labels, Field(emit, step))
+        g_e, g_s = g_e * weight - ridge * emit, (g_s * weight - ridge * step) * chained
         square_e, square_s = square_e + g_e**2, square_s + g_s**2
         emit, step = emit + 0.5 * g_e / np.sqrt(square_e), step + 0.5 * g_s / np.sqrt(square_s)
     return Field(emit, step)
 
 
+def agreeing(field: Field, x: np.ndarray, sizes: np.ndarray, bad: bool) -> np.ndarray:
+    """The likeliest labels of lines that agree with the label of their document.
+
+    Where they do not agree on their own, the label that is missing gets the least bonus, the same on every line, with which they do.
+    """
+
+    def agree(labels: np.ndarray) -> bool:
+        return bool(2 * sizes[labels == 0].sum() < sizes.sum()) == bad
+
+    best = field.decode(x)
+    if agree(best):
+        return best
+    low, high, best = 0.0, 64.0, np.full(len(x), int(bad))
+    for _ in range(12):
+        bonus = (low + high) / 2
+        emit = field.emit.copy()
+        emit[0, int(bad)] += bonus  # The first feature is 1 on every line.
+        labels = Field(emit, field.step).decode(x)
+        if agree(labels):
+            best, high = labels, bonus
+        else:
+            low = bonus
+    return best
+
+
+def learn(sequences: list[np.ndarray], sizes: list[np.ndarray], bad: list[bool], rounds: int = ROUNDS) -> Field:
+    """A field learnt from runs of lines of which only the document's label is known."""
+    runs = Runs(sequences)
+    field = fit_field(runs, [np.full(len(s), int(b)) for s, b in zip(sequences, bad, strict=True)], chained=False)
+    for _ in range(rounds):
+        field = fit_field(runs, [agreeing(field, *run) for run in zip(sequences, sizes, bad, strict=True)])
+    return field
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Field:
     marked = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = None
@@ -167,19 +220,20 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Field
         for batch in batches:
             rows = []
             for quality, text in zip(batch["quality"].array, batch["text"].array, strict=True):
-                x = lines_of(text)[0]
+                x, sizes = lines_of(text)
                 for n in range(0, len(x), RUN):
                     run = x[n : n + RUN]
-                    rows.append((quality, zlib.crc32(run.tobytes()), run.ravel()))
-            yield pd.DataFrame(rows, columns=["quality", "at", "rows"])
-
-    runs = docs.select("doc_id", "text").join(chosen, "doc_id").mapInPandas(describe, "quality int, at long, rows array<double>")
-    sampled = runs.orderBy("at", "quality", "rows").limit(RUNS)
-    found = [(r["quality"], np.array(r["rows"]).reshape(-1, N_FEATURES)) for r in materialize(sampled, "line-sample").collect()]
-    found = sorted(((q, s) for q, s in found if len(s)), key=lambda f: (f[0], len(f[1]), f[1].tobytes()))
-    if len({q for q, _ in found}) < 2:
+                    rows.append((quality, zlib.crc32(run.tobytes()), run.ravel(), sizes[n : n + RUN]))
+            yield pd.DataFrame(rows, columns=["quality", "at", "rows", "sizes"])
+
+    runs = docs.select("doc_id", "text").join(chosen, "doc_id").mapInPandas(describe, "quality int, at long, rows array<double>, sizes array<long>")
+    sampled = materialize(runs.orderBy("at", "quality", "rows", "sizes").limit(RUNS), "line-sample")
+    found = [(r["quality"] <= 0, np.array(r["rows"]).reshape(-1, N_FEATURES), np.array(r["sizes"])) for r in sampled.collect()]
+    found.sort(key=lambda f: (f[0], len(f[1]), f[1].tobytes(), f[2].tobytes()))
+    if len({bad for bad, _, _ in found}) < 2:
         return Field(np.array([[1.0, 0.0]] + [[0.0, 0.0]] * (N_FEATURES - 1)), np.zeros((2, 2)))
-    return fit_field([s for _, s in found], [1 - int(q > 0) for q, _ in found])
+    bad, sequences, sizes = zip(*found, strict=True)
+    return learn(list(sequences), list(sizes), list(bad))
 
 
 def judge_lines(docs: DataFrame, field: Field, content_share: float = 0.5) -> DataFrame:
