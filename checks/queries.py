@@ -253,10 +253,10 @@ def q_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_upsert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An upsert into a table of plain files, of which it rewrites those that hold a changed row."""
     name = fresh("plain")
-    orders = table(spark, sf_dir, "orders")
+    orders = _present(table(spark, sf_dir, "orders"))
     pl.write_table(orders, name, path=pl.scratch_path(spark, name))
-    pl.upsert_table(_incoming(orders), name, ["o_orderkey"])
-    return spark.table(name)
+    pl.upsert_table(_incoming(orders), name, ["o_orderkey", ORIGIN])
+    return spark.table(name).drop(ORIGIN)
 
 
 def q_latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ def orders(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("query", ["q_load_flat", "q_upsert"])
+@pytest.mark.parametrize("query", ["q_load_flat", "q_upsert", "q_upsert_files"])
 def test_added_orders_whose_numbers_are_taken(spark, orders, query):
     df = registered()[query](spark, orders)
     with duckdb.connect() as connection:
