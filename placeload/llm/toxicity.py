@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeload.llm.common import first_by, id_remainder, located, placed, unused
+from placeload.llm.common import chunks, first_by, id_remainder, located, placed, unused
 from placeload.storage import materialize
 
 #: Labelled rows of either label the classifier is fitted on, at most.
@@ -48,6 +48,9 @@ SPACED = re.compile(r"(?<!\S)(?:\S\s++){2,}\S(?!\S)")
 DISGUISED = re.compile(rf"[0-9@$!|+€(]|([^\W\d_])\1\1|[^\W\d_][._\-{re.escape(PARTING)}][^\W\d_][._\-{re.escape(PARTING)}]")
 TWICE = re.compile(r"([^\W\d_])\1")
 OUTER = ".,;:!?'’)-_/" + PARTING
+OPENING = OUTER.replace("!", "")
+#: In every text with letters that stand apart: a sign by itself, and one more after it.
+APART = re.compile(r"\s\S\s++\S(?!\S)")
 BLANKS = re.compile(r"\s+")
 LETTER = re.compile(r"[^\W\d_]+")
 
@@ -62,18 +65,20 @@ def classes(text: str) -> np.ndarray:
     return CLASSES[np.frombuffer(text.encode("latin-1", "replace"), np.uint8)]
 
 
+def trigrams(text: str) -> np.ndarray:
+    c = np.concatenate([[0, 0], classes(text), [0]])
+    return (c[:-2] * SIDE + c[1:-1]) * SIDE + c[2:]
+
+
 def trigram_counts(docs: DataFrame) -> np.ndarray:
     """How often each trigram occurs in all texts; at most SIDE ** 3 numbers reach the driver."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(SIDE**3, np.int64)
         for batch in batches:
-            for text in batch["text"].array:
-                c = classes(text.lower()) if isinstance(text, str) else ()
-                if len(c):
-                    c = np.concatenate([[0, 0], c, [0]])
-                    at, n = np.unique((c[:-2] * SIDE + c[1:-1]) * SIDE + c[2:], return_counts=True)
-                    total[at] += n
+            found = (trigrams(text.lower()) for text in batch["text"].array if isinstance(text, str) and text)
+            for several in chunks(found, len, 1 << 20):
+                total += np.bincount(np.concatenate(several), minlength=SIDE**3)
         at = total.nonzero()[0]
         yield pd.DataFrame({"trigram": at, "n": total[at]})
 
@@ -139,9 +144,8 @@ class Restorer:
             path = path[1]
         return "".join(parts[::-1])
 
-    def readings(self, word: str) -> list[str]:
+    def readings(self, word: str, disguised: bool) -> list[str]:
         """Plain words of a lattice, then those it has only if letters that occur twice may be one."""
-        disguised = DISGUISED.search(word)
         found = LETTER.findall(self.restore(word) if disguised else word)
         if TWICE.search(word):
             found += further(found, LETTER.findall(self.restore(word, True) if disguised else TWICE.sub(self._once, word)))
@@ -159,13 +163,16 @@ class Restorer:
 
     def token(self, token: str) -> list[str]:
         """Plain words of a token as it stands in a text, then those that only its parts have."""
-        token = token.rstrip(OUTER).lstrip(".,;:?'’)-_/" + PARTING)
+        token = token.rstrip(OUTER).lstrip(OPENING)
         if len(token) > 3 and token[-3:] == token[-1] * 3 and not token[-1].isalpha():
             token = token.rstrip(token[-1])
+        if token.isalpha() and not TWICE.search(token):
+            return [token]  # nothing to restore, and nothing but letters
         if not LETTER.search(token):
             return []
-        found = self.readings(token)
-        if DISGUISED.search(token):
+        disguised = DISGUISED.search(token) is not None
+        found = self.readings(token, disguised)
+        if disguised:
             parts = PARTED.findall(token)
             parts = parts if len(parts) > 1 else JOINED.findall(token)
             if len(parts) > 1:
@@ -175,6 +182,8 @@ class Restorer:
     def spaced(self, text: str) -> list[str]:
         """Plain words of letters that stand apart, then those that only stretches apart by equal blanks have."""
         found = []
+        if not APART.search(text):
+            return found
         for run in SPACED.finditer(text):
             letters = run[0].split()
             found += LETTER.findall(self.restore(" ".join(letters)))
@@ -199,34 +208,43 @@ def features(word: str) -> list[str]:
 
 
 class Scorer:
-    """Weights of restored words, remembered for the words met lately."""
+    """Weights of restored words, remembered for the tokens met lately."""
 
-    #: Characters of the words remembered.
-    REMEMBERED = 8_000_000
+    #: Characters of the tokens remembered, and 64 for each.
+    REMEMBERED = 32_000_000
 
     def __init__(self, model: np.ndarray, weights: dict[str, float], bias: float):
         self.restorer, self.weights, self.bias = Restorer(model), weights, bias
+        #: First letters of all words that have a weight.
+        self.begins = {f.removeprefix("^")[:4] for f in weights}
+        #: Tokens with weights, and those without any.
         self.known: dict[str, tuple] = {}
+        self.others: set[str] = set()
         self.size = 0
 
     def parts(self, words: list[str]) -> tuple:
-        return tuple(f for w in words for f in features(w) if f in self.weights)
+        return tuple(f for w in words if w[:4] in self.begins for f in features(w) if f in self.weights)
+
+    def look_up(self, token: str) -> tuple:
+        """Weights of a token's words; it is remembered."""
+        self.size += len(token) + 64
+        if self.size > self.REMEMBERED:
+            self.known.clear()
+            self.others.clear()
+            self.size = len(token) + 64
+        parts = self.parts(self.restorer.token(token))
+        if parts:
+            self.known[token] = parts
+        else:
+            self.others.add(token)
+        return parts
 
     def score(self, text: str | None) -> float:
         hits: set[str] = set()
         if isinstance(text, str) and text:
             text = text.lower()
-            known = self.known
-            for token in set(WORD.findall(text)):
-                parts = known.get(token)
-                if parts is None:
-                    parts = self.parts(self.restorer.token(token))
-                    self.size += len(token) + 64
-                    if self.size > self.REMEMBERED:
-                        known.clear()
-                        self.size = len(token) + 64
-                    known[token] = parts
-                hits.update(parts)
+            for token in set(text.split()) - self.others:
+                hits.update(self.known.get(token) or self.look_up(token))
             hits.update(self.parts(self.restorer.spaced(text)))
         z = self.bias + sum(self.weights[f] for f in sorted(hits))
         return float(1 / (1 + np.exp(-min(max(z, -40), 40))))
@@ -258,7 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Score
             found = []
             for text in batch["text"].array:
                 text = text.lower() if isinstance(text, str) else ""
-                words = {w for token in set(WORD.findall(text)) for w in restorer.token(token)}
+                words = {w for token in set(text.split()) for w in restorer.token(token)}
                 words.update(restorer.spaced(text))
                 found.append(sorted({f for w in words for f in features(w)}))
             yield pd.DataFrame({"toxic": batch["toxic"], "found": found})

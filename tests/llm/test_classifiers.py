@@ -148,3 +148,40 @@ def test_reads_do_not_grow_with_the_languages(spark, tmp_path, languages):
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert jobs < 15
+
+
+def test_words_without_weight_are_not_described(restorer, monkeypatch):
+    """Plain words skip the lattice and words that no weight begins their features; scores are those of all features."""
+    weights = {"idiot": 2.0, "^idio": 0.5, "^losers": 0.25, "ab": 0.125, "trash": -1.0, "^stone": 0.75}
+    plain = [f"{a}{b}{c}" for a, b, c in itertools.permutations("bcdegkmprt", 3)]
+    draw = random.Random(4)
+    odd = ["1d10t", "idiots!!!", "(loserss)", "ab", "abc", "ßtoné", "stonés,", "tr@sh$$$", "iidiot", "日本", "x²½", "a_b", "...", "42", "stoney"]
+    texts = [" \t".join(draw.choices(odd + plain, k=9)) for _ in range(300)] + ["i d i o t x", "a  b\x1cc", " a b ", "", None]
+
+    def all_features(text):
+        text = (text or "").lower()
+        words = {w for t in toxicity.WORD.findall(text) for w in restorer.token(t)} | set(restorer.spaced(text))
+        hits = sorted({f for w in words for f in toxicity.features(w)} & weights.keys())
+        return 1 / (1 + np.exp(-(-1.0 + sum(weights[f] for f in hits))))
+
+    expected = [all_features(t) for t in texts]
+    scorer = toxicity.Scorer(np.array(restorer.model, np.float32), weights, -1.0)
+    assert [scorer.score(t) for t in texts] == expected
+    monkeypatch.setattr(toxicity.Scorer, "REMEMBERED", 300)
+    assert [scorer.score(t) for t in texts] == expected
+    calls = []
+    monkeypatch.setattr(toxicity, "features", lambda word: calls.append(word) or [])
+    monkeypatch.setattr(toxicity.Restorer, "readings", lambda *given: calls.append(given) or [])
+    toxicity.Scorer(np.array(restorer.model, np.float32), weights, -1.0).score(" ".join(plain))
+    assert not calls
+
+
+def test_trigrams_are_counted_within_each_text(spark):
+    texts = ["ab", "", None, "Äb c日", "ab"]
+    counts = np.zeros((toxicity.SIDE,) * 3, np.int64)
+    for text in filter(None, texts):
+        c = [0, 0, *toxicity.classes(text.lower()).tolist(), 0]
+        for at in zip(c, c[1:], c[2:], strict=False):
+            counts[at] += 1
+    found = toxicity.trigram_counts(spark.createDataFrame([row(n, t) for n, t in enumerate(texts)], ROWS))
+    assert (found.reshape(counts.shape) == counts).all()
