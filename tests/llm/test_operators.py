@@ -154,6 +154,47 @@ def test_hot_windows_are_decided_by_their_bytes(monkeypatch):
     assert sorted(entry.tolist()) == [0, 4] and not shift.any()
 
 
+def marked(spark, texts, batch=700):
+    """Each batch of ``texts`` with the levels of its entries."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8, "doc_id")
+    stored = suffix_dedup.batches(docs, batch)
+    marks = suffix_dedup.shared_marks(stored, 8, suffix_dedup.HOT)
+    return [(r.batch_id, *suffix_dedup.marked_entries(r, 8)) for r in suffix_dedup.with_marks(stored, marks).collect()]
+
+
+def own_prose(n: int, words: int) -> str:
+    return " ".join(hashlib.sha256(f"{n} {k}".encode()).hexdigest()[: 3 + k % 9] for k in range(words))
+
+
+def test_bytes_of_a_run_come_from_one_batch(spark):
+    """A passage of many documents, before which one of them has other words within the same bucket."""
+    passage = own_prose(0, 40)
+    found = marked(spark, [own_prose(n, 30) + " " + passage + " " + own_prose(n + 100, 60) for n in range(1, 30)])
+    assert len(found) > 20
+    held: dict = {}
+    for _, batch, level in found:
+        for gram, run, n in zip(batch.gram[batch.lead].tolist(), batch.run[batch.lead].tolist(), level.tolist(), strict=True):
+            held.setdefault(gram, {}).setdefault(run, []).append(n)
+    several = [runs for runs in held.values() if len(runs) > 1]
+    assert any(len(levels) > 5 for runs in several for levels in runs.values())
+    assert all(sorted(levels) == [2] + [4] * (len(levels) - 1) for runs in several for levels in runs.values())
+    assert {n for runs in held.values() if len(runs) == 1 for levels in runs.values() for n in levels} <= {0, 1}
+
+
+def test_common_passages_send_no_more_than_their_entries(spark):
+    """A passage that each of 400 documents has between words of its own is no reason to send single windows."""
+    passage = own_prose(0, 12)
+    found = marked(spark, [own_prose(n, 25) + " " + passage + " " + own_prose(n + 1000, 25) for n in range(1, 401)], 300)
+    shared = sent = size = 0
+    for batch_id, batch, level in found:
+        rows = suffix_dedup._sent(batch_id, batch, level, 8)
+        shared += int((level > 0).sum())
+        sent += sum(len(key) // 8 for key in rows["key"])
+        size += int(rows[["key", "run", "rank", "start", "span", "body"]].map(len).to_numpy().sum())
+    assert shared > 400 and sent == shared
+    assert size < 200 * shared
+
+
 def test_groups_of_buckets_follow_the_bytes(spark):
     few = suffix_dedup.partitions(spark)
     assert suffix_dedup.bucket_count(spark, 1000) == few
