@@ -140,6 +140,15 @@ def test_suffix_dedup_stage(docs, nothing):
     assert texts[14] == "x" and texts[13] == LONG
 
 
+def test_texts_are_joined_from_their_batches_alone(docs):
+    """What was read of the documents goes to the join without their texts."""
+    node = suffix_dedup.cut_repeats(docs)._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().apply(0)
+    sides = [[side.output().apply(n).name() for n in range(side.output().size())] for side in (node.left(), node.right())]
+    assert {"doc_id", "lang", "Keep_ID"} <= set(sides[0]) and "text" not in sides[0] and sides[1].count("kept") == 1
+
+
 def test_hot_windows_are_decided_by_their_bytes(monkeypatch):
     """Windows dealt to one key by a hash that they share by chance are told apart."""
     import pandas as pd

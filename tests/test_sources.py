@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +104,23 @@ def test_materialize_cuts_the_lineage(spark, parts):
     assert parts not in plan(back)
 
 
+def test_materialize_leaves_no_shuffle_files(spark):
+    def shuffled():
+        blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+        return {b for b in blocks.split() if b.startswith("shuffle_")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(name, None)
+    before = shuffled()
+    back = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):  # they go in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert back.count() == 7 and spark.conf.get(name, None) == setting
+
+
 def test_scratch_paths_are_in_the_shared_folder(spark):
     first, second = scratch_path(spark, "a"), scratch_path(spark, "a")
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
